@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analysis this library re-expresses reads finished files only; it has
+no watermark, windowed aggregation, state or late data. Every operator here
+is a batch DataFrame transform, which Structured Streaming can reuse inside
+``foreachBatch`` if a caller wants to score a stream of new ratings.
+"""
