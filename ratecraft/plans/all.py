@@ -1,3 +1,4 @@
 """Import every query module so the registry is complete."""
 
 from ratecraft.plans import q_models  # noqa: F401
+from ratecraft.plans import q_profile  # noqa: F401
