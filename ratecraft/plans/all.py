@@ -5,3 +5,4 @@ from ratecraft.plans import q_profile  # noqa: F401
 from ratecraft.plans import q_charts  # noqa: F401
 from ratecraft.plans import q_split  # noqa: F401
 from ratecraft.plans import q_io  # noqa: F401
+from ratecraft.plans import q_ml  # noqa: F401

@@ -48,6 +48,7 @@ class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, sparse: bool = False, dirty: bool = False):
         self.spark, self.sf_dir = spark, sf_dir
         self.sparse, self.dirty = sparse, dirty
+        self.models: dict = {}   # fitted models shared by the queries of a session
 
     @cached_property
     def ratings(self) -> DataFrame:
