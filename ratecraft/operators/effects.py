@@ -66,6 +66,13 @@ class EffectModel:
 
     ``slots`` are the lambdas: ``None`` (plain means), a float, or the name
     of a column carried in from a one-row lambda table.
+
+    The first effect is stored as its sufficient statistics (sum of
+    residuals ``__S`` and count ``__n`` per key): every lambda's value is
+    ``S / (n + lambda)``, computed where it is used. Rows joined to it carry
+    two numbers instead of one per lambda, which keeps the big joins narrow.
+    Later effects depend on the earlier ones per lambda and are stored as
+    one column per lambda (``{name}__{j}``).
     """
 
     def __init__(self, mu: DataFrame, effects: list[Effect], tables: list[DataFrame],
@@ -74,48 +81,84 @@ class EffectModel:
         self.slots, self.by, self.rating = slots, by, rating
         self.lambda_table = lambda_table
 
+    def _lam(self, j) -> Column:
+        s = self.slots[j]
+        return F.col(s) if isinstance(s, str) else F.lit(s)
+
+    def _first_value(self, j, S="__S0", n="__n0") -> Column:
+        e = self.effects[0]
+        S, n = F.col(S), F.col(n)
+        if self.slots[j] is None:
+            return S / n
+        if e.stat == "mean":
+            return (S / n) / (n + self._lam(j))
+        return S / (n + self._lam(j))
+
+    def value(self, idx: int, j: int) -> Column:
+        """Effect ``idx`` for slot ``j`` on rows that went through ``attach``."""
+        return self._first_value(j) if idx == 0 else F.col(f"{self.effects[idx].name}__{j}")
+
     # -- effect tables -------------------------------------------------
     def effect_table(self, idx: int, slot: int = 0) -> DataFrame:
         """Effect ``idx`` for one slot with the column named after the effect."""
         e = self.effects[idx]
-        return self.tables[idx].select(*self.by, e.key, F.col(f"{e.name}__{slot}").alias(e.name))
+        t = self.tables[idx]
+        if idx == 0:
+            if self.lambda_table is not None:
+                t = t.crossJoin(F.broadcast(self.lambda_table))
+            return t.select(*self.by, e.key, self._first_value(slot, "__S", "__n").alias(e.name))
+        return t.select(*self.by, e.key, F.col(f"{e.name}__{slot}").alias(e.name))
 
-    # -- prediction ----------------------------------------------------
-    def _joined(self, test: DataFrame, upto: int | None = None, keep_parts: bool = False) -> DataFrame:
-        upto = len(self.effects) if upto is None else upto
+    # -- joins -----------------------------------------------------------
+    def attach(self, df: DataFrame, upto: int, with_mu: bool = True) -> DataFrame:
+        """Join mu and effects ``0..upto-1`` (with lambda columns) onto ``df``."""
+        out = df
+        if with_mu:
+            out = out.join(F.broadcast(self.mu), list(self.by), "left") if self.by else \
+                out.crossJoin(F.broadcast(self.mu))
+        if self.lambda_table is not None and "__lam0" not in out.columns:
+            out = out.crossJoin(F.broadcast(self.lambda_table))
+        for idx in range(upto):
+            e, tab = self.effects[idx], self.tables[idx]
+            if idx == 0:
+                tab = tab.withColumnsRenamed({"__S": "__S0", "__n": "__n0"})
+            out = keyed_join(out, _bcast_if(tab, e.bounded), [*self.by, e.key], "left",
+                             null_safe=[e.key] if e.null_safe else [])
+        return out
+
+    def _pred_cols(self, upto: int) -> dict:
         L = len(self.slots)
-        mu = _bcast_if(self.mu, True)
-        t = test.join(mu, list(self.by), "left") if self.by else test.crossJoin(mu)
-        t = t.withColumns({f"pred__{j}": F.col("mu") for j in range(L)})
-        for e, tab in zip(self.effects[:upto], self.tables[:upto]):
-            t = keyed_join(t, _bcast_if(tab, e.bounded), [*self.by, e.key], "left",
-                           null_safe=[e.key] if e.null_safe else [])
-            t = t.withColumns({f"pred__{j}": F.col(f"pred__{j}") + F.col(f"{e.name}__{j}")
-                               for j in range(L)})
-            if not keep_parts:
-                t = t.drop(*[f"{e.name}__{j}" for j in range(L)])
-        return t
+        preds = {}
+        for j in range(L):
+            p = F.col("mu")
+            for idx in range(upto):
+                p = p + self.value(idx, j)
+            preds[f"pred__{j}"] = p
+        return preds
 
+    # -- prediction ----------------------------------------------------
     def predict(self, test: DataFrame, upto: int | None = None, slot: int = 0,
                 keep_parts: bool = False) -> DataFrame:
         """Test rows with ``pred`` (and, with keep_parts, each effect) for one slot."""
-        t = self._joined(test, upto, keep_parts)
-        L = len(self.slots)
-        out = t.withColumn("pred", F.col(f"pred__{slot}"))
-        drop = [f"pred__{j}" for j in range(L)]
+        upto = len(self.effects) if upto is None else upto
+        t = self.attach(test, upto)
+        cols = {"pred": self._pred_cols(upto)[f"pred__{slot}"]}
         if keep_parts:
-            for e in self.effects[: (len(self.effects) if upto is None else upto)]:
-                out = out.withColumn(e.name, F.col(f"{e.name}__{slot}"))
-                drop += [f"{e.name}__{j}" for j in range(L)]
-        return out.drop(*drop)
+            for idx in range(upto):
+                cols[self.effects[idx].name] = self.value(idx, slot)
+        helper = ["mu", "__S0", "__n0", "__lam0"] + [f"{e.name}__{j}" for e in self.effects
+                                                      for j in range(len(self.slots))]
+        return t.withColumns(cols).drop(*[c for c in helper if c in t.columns])
 
     def rmse(self, test: DataFrame, upto: int | None = None) -> DataFrame:
         """Strict RMSE per ``by`` group and lambda: (by..., lambda, rmse, n, n_unscored)."""
-        t = self._joined(test, upto)
+        upto = len(self.effects) if upto is None else upto
+        t = self.attach(test, upto)
         L = len(self.slots)
+        preds = self._pred_cols(upto)
         aggs = []
         for j in range(L):
-            aggs += strict_rmse_aggs(F.col(self.rating), F.col(f"pred__{j}"), prefix=f"s{j}_")
+            aggs += strict_rmse_aggs(F.col(self.rating), preds[f"pred__{j}"], prefix=f"s{j}_")
         g = t.groupBy(*self.by).agg(*aggs)
         if self.lambda_table is not None:
             g = g.crossJoin(F.broadcast(self.lambda_table))
@@ -129,73 +172,108 @@ class EffectModel:
         return g.select(*self.by, F.inline(F.array(*structs)))
 
 
+# Lambdas fitted per pass. Each lambda adds a column to every row of the
+# later stages; past about fifteen the generated code of a stage grows beyond
+# what the JVM compiles, so a grid is fitted in chunks that share mu, the
+# first effect and the joined training rows (all lambda-free).
+LAMBDA_CHUNK = 14
+
+
 def fit_effects(train: DataFrame, effects: Sequence[Effect], lambdas=None,
-                rating: str = "rating", by: Sequence[str] = (), persist: bool = True) -> EffectModel:
+                rating: str = "rating", by: Sequence[str] = (), persist: bool = True):
     """Fit mu and the effects in order, for one or many shrinkage constants.
 
     lambdas: None (plain means), a float, a list of floats (one slot each),
     or a one-row DataFrame with a ``lambda`` column (a tuned value that is
-    never collected to the driver).
+    never collected to the driver). A list longer than ``LAMBDA_CHUNK``
+    returns a ``ChunkedEffectModel``.
 
-    persist: write mu and every fitted effect table (one row per key and
-    ``by`` group, so small next to the ratings) to the shared checkpoint
-    folder. Each stage then joins a scanned table, which keeps the plan
-    linear (stage k would otherwise embed stage k-1 twice) and gives the
-    planner exact sizes for its broadcast decision.
+    persist: write mu, every fitted effect table (one row per key and
+    ``by`` group, small next to the ratings) and the training rows joined to
+    the first effect's statistics to the shared checkpoint folder. Each
+    stage then scans those tables, which keeps plans linear (stage k would
+    otherwise embed stage k-1 twice) and the row-side join narrow, and gives
+    the planner exact sizes for its broadcast decision.
     """
-    keep = (lambda df, name: materialize(df, name)) if persist else (lambda df, name: df)
     by = tuple(by)
     effects = list(effects)
+    keep = (lambda df, name: materialize(df, name)) if persist else (lambda df, name: df)
     lambda_table = None
     if lambdas is None or isinstance(lambdas, (int, float)):
         slots = [None if lambdas is None else float(lambdas)]
     elif isinstance(lambdas, DataFrame):
-        lambda_table = lambdas.select(F.col("lambda").cast("double").alias("__lam0"))
+        lambda_table = keep(lambdas.select(F.col("lambda").cast("double").alias("__lam0")), "lambda")
         slots = ["__lam0"]
     else:
         slots = [float(x) for x in lambdas]
-    L = len(slots)
-
-    def lam_col(j):
-        s = slots[j]
-        return F.col(s) if isinstance(s, str) else F.lit(s)
 
     rows = train.select(*by, rating, *dict.fromkeys(e.key for e in effects))
     mu = keep(rows.groupBy(*by).agg(F.avg(rating).alias("mu")), "mu")
-    rows = rows.join(F.broadcast(mu), list(by), "inner") if by else rows.crossJoin(F.broadcast(mu))
-    # before the first effect every slot shares one residual
-    rows = rows.withColumn("__r", F.col(rating) - F.col("mu")).drop("mu")
-    shared = True
-    tables = []
-    for idx, e in enumerate(effects):
-        rcols = ["__r"] if shared else [f"__r{j}" for j in range(L)]
+    first_tables, base = [], None
+    if effects:
+        e0 = effects[0]
+        r0 = F.col(rating) - F.col("mu")
+        rows_mu = rows.join(F.broadcast(mu), list(by), "inner") if by else rows.crossJoin(F.broadcast(mu))
+        stats = rows_mu.groupBy(*by, e0.key).agg(F.sum(r0).alias("__S"), F.count(F.lit(1)).alias("__n"))
+        first_tables = [keep(stats, e0.name)]
+        if len(effects) > 1:
+            shared = EffectModel(mu, effects, first_tables, slots[:1], by, rating, lambda_table)
+            # training rows + first-effect statistics (narrow), scanned by every later stage
+            base = keep(shared.attach(rows, 1), "rows")
+    chunks = [slots[i:i + LAMBDA_CHUNK] for i in range(0, len(slots), LAMBDA_CHUNK)]
+    models = []
+    for chunk in chunks:
+        model = EffectModel(mu, effects, list(first_tables), chunk, by, rating, lambda_table)
+        _fit_later(model, base, keep)
+        models.append(model)
+    return models[0] if len(models) == 1 else ChunkedEffectModel(models)
+
+
+def _fit_later(model: EffectModel, base: DataFrame | None, keep) -> None:
+    """Fit effects 1.. of ``model`` on ``base`` (rows joined to mu and effect 0)."""
+    effects, by, L = model.effects, model.by, len(model.slots)
+    for idx in range(1, len(effects)):
+        e = effects[idx]
+        t = base
+        for m in range(1, idx):
+            em = effects[m]
+            t = keyed_join(t, _bcast_if(model.tables[m], em.bounded), [*by, em.key], "left",
+                           null_safe=[em.key] if em.null_safe else [])
         aggs = [F.count(F.lit(1)).alias("__n")]
-        aggs += [F.sum(c).alias(f"__s_{c}") for c in rcols]
-        agg = rows.groupBy(*by, e.key).agg(*aggs)
-        if lambda_table is not None:
-            agg = agg.crossJoin(F.broadcast(lambda_table))
-        vals = {}
         for j in range(L):
-            s = F.col(f"__s_{rcols[0] if shared else rcols[j]}")
-            n = F.col("__n")
-            if slots[j] is None:
-                v = s / n
+            r = F.col(model.rating) - F.col("mu")
+            for m in range(idx):
+                r = r - model.value(m, j)
+            aggs.append(F.sum(r).alias(f"__s{j}"))
+        agg = t.groupBy(*by, e.key).agg(*aggs)
+        if model.lambda_table is not None:
+            agg = agg.crossJoin(F.broadcast(model.lambda_table))
+        vals = []
+        for j in range(L):
+            sj, n = F.col(f"__s{j}"), F.col("__n")
+            if model.slots[j] is None:
+                v = sj / n
             elif e.stat == "mean":
-                v = (s / n) / (n + lam_col(j))
+                v = (sj / n) / (n + model._lam(j))
             else:
-                v = s / (n + lam_col(j))
-            vals[f"{e.name}__{j}"] = v
-        tab = keep(agg.select(*by, e.key, *[v.alias(k) for k, v in vals.items()]), e.name)
-        tables.append(tab)
-        if idx < len(effects) - 1:
-            joined = keyed_join(rows, _bcast_if(tab, e.bounded), [*by, e.key], "left",
-                                null_safe=[e.key] if e.null_safe else [])
-            base = (lambda j: F.col("__r")) if shared else (lambda j: F.col(f"__r{j}"))
-            joined = joined.withColumns({f"__r{j}": base(j) - F.col(f"{e.name}__{j}") for j in range(L)})
-            drop = [f"{e.name}__{j}" for j in range(L)] + (["__r"] if shared else [])
-            rows = joined.drop(*drop)
-            shared = False
-    return EffectModel(mu, effects, tables, slots, by, rating, lambda_table)
+                v = sj / (n + model._lam(j))
+            vals.append(v.alias(f"{e.name}__{j}"))
+        model.tables.append(keep(agg.select(*by, e.key, *vals), e.name))
+
+
+class ChunkedEffectModel:
+    """A lambda grid fitted in chunks; ``rmse`` covers every lambda."""
+
+    def __init__(self, models: list[EffectModel]):
+        self.models = models
+
+    def rmse(self, test: DataFrame, upto: int | None = None) -> DataFrame:
+        out, offset = None, 0
+        for m in self.models:
+            r = m.rmse(test, upto).withColumn("slot", F.col("slot") + offset)
+            offset += len(m.slots)
+            out = r if out is None else out.unionByName(r)
+        return out
 
 
 def naive_rmse(train: DataFrame, test: DataFrame, rating: str = "rating", by: Sequence[str] = ()) -> DataFrame:

@@ -20,6 +20,8 @@ from ratecraft.operators.joins import keyed_join
 from ratecraft.session import materialize
 
 KEEP = "__keep"
+# Expanded (fold-copied) rows per task; sizes the partitions before the copy.
+ROWS_PER_TASK = 2_000_000
 
 
 def hash_bucket(cols: Sequence[str], n: int, seed: int = 0) -> Column:
@@ -90,13 +92,22 @@ def expand_folds(df: DataFrame, fold: Column | str, k: int,
     to its key, so all folds are fitted in the same jobs.
     """
     flagged = flag_fold_guard(df, fold, k, keys)
-    if persist:
-        flagged = materialize(flagged.select(*df.columns, "__fold", KEEP), "folds")
     cols = df.columns
-    test = flagged.filter(F.col(KEEP)).select(F.col("__fold").alias(h), *cols)
     hs = F.filter(F.sequence(F.lit(0), F.lit(k - 1)),
                   lambda x: ~(F.col(KEEP) & (x == F.col("__fold"))))
-    train = flagged.select(F.explode(hs).alias(h), *cols)
+    if not persist:
+        return (flagged.select(F.explode(hs).alias(h), *cols),
+                flagged.filter(F.col(KEEP)).select(F.col("__fold").alias(h), *cols))
+    flagged = materialize(flagged.select(*cols, "__fold", KEEP), "folds")
+    test = flagged.filter(F.col(KEEP)).select(F.col("__fold").alias(h), *cols)
+    # The copy multiplies rows by k inside each task, so spread the (narrow)
+    # input first: enough partitions that each task emits ~ROWS_PER_TASK
+    # rows, and at least one per core. The count is one pass over a
+    # materialized table; only a number reaches the driver.
+    spark = df.sparkSession
+    n = flagged.count()
+    parts = max(spark.sparkContext.defaultParallelism, -(-n * k // ROWS_PER_TASK))
+    train = materialize(flagged.repartition(parts).select(F.explode(hs).alias(h), *cols), "folds-train")
     return train, test
 
 

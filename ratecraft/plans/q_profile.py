@@ -259,7 +259,7 @@ _MOVIE_CTES = [
 def _items_sql(desc):
     o = "DESC" if desc else "ASC"
     return W(f"""SELECT b.item_id, t.title, round(b.b_i, 6) AS b_i, b.n FROM me_bi b
-LEFT JOIN movie_titles t ON b.item_id = t.item_id ORDER BY b.b_i {o}, b.item_id LIMIT 20""", ["movie_titles"], _MOVIE_CTES)
+LEFT JOIN movie_titles t ON b.item_id = t.item_id ORDER BY round(b.b_i, 9) {o}, b.item_id LIMIT 20""", ["movie_titles"], _MOVIE_CTES)
 
 
 def movie_report(spark, sf, desc):
@@ -268,7 +268,8 @@ def movie_report(spark, sf, desc):
     counts = pr.count_by(p.edx_train, "item_id", "n")
     rep = natural_left_join(counts, m.effect_table(0))
     rep = rep.join(p.movie_titles, "item_id", "left")
-    first = F.col("b_i").desc() if desc else F.col("b_i").asc()
+    key = F.round("b_i", 9)   # computed floats: order on 9 decimals, then the id
+    first = key.desc() if desc else key.asc()
     return pr.top_n(rep, [first, F.col("item_id")], 20).select("item_id", "title", _r6("b_i").alias("b_i"), "n")
 
 
@@ -279,13 +280,14 @@ query("worst_items", _items_sql(False))(lambda spark, sf: movie_report(spark, sf
 @query("largest_residuals", W("""SELECT user_id, item_id, title, round(residual, 6) AS residual FROM (
   SELECT t.user_id, t.item_id, t.title, t.ts, t.rating - (m.mu + b.b_i) AS residual
   FROM edx_test t CROSS JOIN me_mu m LEFT JOIN me_bi b ON t.item_id = b.item_id)
-ORDER BY abs(residual) DESC, item_id, user_id, ts LIMIT 20""", ["edx_test"], _MOVIE_CTES))
+ORDER BY round(abs(residual), 9) DESC, item_id, user_id, ts LIMIT 20""", ["edx_test"], _MOVIE_CTES))
 def largest_residuals(spark, sf):
     """The 20 test rows the movie-effect model misses most."""
     p = P(spark, sf)
     m = fit_effects(p.edx_train, standard_effects(upto=1), None)
     pred = m.predict(p.edx_test).withColumn("residual", F.col("rating") - F.col("pred"))
-    return pr.top_n(pred, [F.abs("residual").desc(), F.col("item_id"), F.col("user_id"), F.col("ts")], 20) \
+    return pr.top_n(pred, [F.round(F.abs("residual"), 9).desc(), F.col("item_id"), F.col("user_id"),
+                           F.col("ts")], 20) \
         .select("user_id", "item_id", "title", _r6("residual").alias("residual"))
 
 
