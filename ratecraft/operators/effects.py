@@ -14,6 +14,7 @@ so a grid of 41 lambdas is one job per effect, not 41 jobs. With ``by``
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -221,12 +222,15 @@ def fit_effects(train: DataFrame, effects: Sequence[Effect], lambdas=None,
             # training rows + first-effect statistics (narrow), scanned by every later stage
             base = keep(shared.attach(rows, 1), "rows")
     chunks = [slots[i:i + LAMBDA_CHUNK] for i in range(0, len(slots), LAMBDA_CHUNK)]
-    models = []
-    for chunk in chunks:
-        model = EffectModel(mu, effects, list(first_tables), chunk, by, rating, lambda_table)
-        _fit_later(model, base, keep)
-        models.append(model)
-    return models[0] if len(models) == 1 else ChunkedEffectModel(models)
+    models = [EffectModel(mu, effects, list(first_tables), c, by, rating, lambda_table) for c in chunks]
+    if len(models) == 1:
+        _fit_later(models[0], base, keep)
+        return models[0]
+    # Chunks are independent: submit their jobs from concurrent driver
+    # threads so the scheduler interleaves their tasks.
+    with ThreadPoolExecutor(max_workers=len(models)) as pool:
+        list(pool.map(lambda m: _fit_later(m, base, keep), models))
+    return ChunkedEffectModel(models)
 
 
 def _fit_later(model: EffectModel, base: DataFrame | None, keep) -> None:

@@ -107,7 +107,8 @@ def expand_folds(df: DataFrame, fold: Column | str, k: int,
     spark = df.sparkSession
     n = flagged.count()
     parts = max(spark.sparkContext.defaultParallelism, -(-n * k // ROWS_PER_TASK))
-    train = materialize(flagged.repartition(parts).select(F.explode(hs).alias(h), *cols), "folds-train")
+    train = materialize(flagged.repartition(parts).select(F.explode(hs).alias(h), *cols), "folds-train",
+                        rebalance=False)
     return train, test
 
 
