@@ -125,8 +125,12 @@ def fold_sizes(df: DataFrame, fold: Column | str, k: int,
     out = (folds.join(per_fold.filter(F.col("__fold").isNotNull())
                       .withColumnRenamed("__fold", "fold"), "fold", "left")
            .crossJoin(F.broadcast(total)))
-    return out.select(
+    out = out.select(
         "fold",
         (F.col("n_total") - F.coalesce(F.col("n_test"), F.lit(0))).alias("n_train"),
         F.coalesce(F.col("n_test"), F.lit(0)).alias("n_test"),
         F.coalesce(F.col("n_removed"), F.lit(0)).alias("n_removed"))
+    # progress line as the analysis prints it (folds numbered from 1)
+    return out.withColumn("message", F.concat_ws(" ", F.lit("Computing RMSE for fold:"),
+                                                 (F.col("fold") + 1).cast("string"),
+                                                 F.col("n_train").cast("string"), F.col("n_test").cast("string")))

@@ -34,10 +34,12 @@ def guard_removed_q(spark, sf):
     return guard_removed(r, F.col("bucket") == 0)
 
 
-@query("fold_sizes", W(f"""SELECT f.fold, (SELECT count(*) FROM rs_fold) - count(CASE WHEN t.keep THEN 1 END) AS n_train,
+@query("fold_sizes", W(f"""SELECT *, concat_ws(' ', 'Computing RMSE for fold:', CAST(fold + 1 AS VARCHAR),
+       CAST(n_train AS VARCHAR), CAST(n_test AS VARCHAR)) AS message FROM (
+SELECT f.fold, (SELECT count(*) FROM rs_fold) - count(CASE WHEN t.keep THEN 1 END) AS n_train,
        count(CASE WHEN t.keep THEN 1 END) AS n_test, count(CASE WHEN NOT t.keep THEN 1 END) AS n_removed
 FROM (SELECT CAST(range AS INTEGER) AS fold FROM range({K_SPARSE})) f LEFT JOIN rs_keep t ON t.fold = f.fold
-GROUP BY f.fold""", [], [
+GROUP BY f.fold)""", [], [
     ("rs_fold", f"SELECT *, CAST(bucket % {K_SPARSE} AS INTEGER) AS fold FROM ratings_sparse", ["ratings_sparse"]),
     ("rs_keep", """SELECT t.*, (EXISTS (SELECT 1 FROM rs_fold o WHERE o.item_id = t.item_id AND o.fold <> t.fold)
       AND EXISTS (SELECT 1 FROM rs_fold o WHERE o.user_id = t.user_id AND o.fold <> t.fold)) AS keep
