@@ -112,6 +112,25 @@ class Pipeline:
         """movie_titles without the wrong id."""
         return drop_ids(self.movie_titles_all, self.corrections)
 
+    def plain_model(self):
+        """Plain 5-effect fit on edx_train, shared by every query of the session.
+
+        Effects are fitted in sequence, so its first k effects are exactly the
+        k-effect model (naive, movie, +user, +year, +date, +genre).
+        """
+        if "plain" not in self.models:
+            from ratecraft.operators.effects import fit_effects, standard_effects
+            self.models["plain"] = fit_effects(self.edx_train, standard_effects(), None)
+        return self.models["plain"]
+
+    def reg_model(self, lam: float):
+        """Regularized 5-effect fit on edx_train at ``lam``, shared within the session."""
+        key = ("reg", lam)
+        if key not in self.models:
+            from ratecraft.operators.effects import fit_effects, standard_effects
+            self.models[key] = fit_effects(self.edx_train, standard_effects(), lam)
+        return self.models[key]
+
     @property
     def fold(self):
         return F.col("bucket") - FOLD_OFFSET

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ratecraft.operators import profile as pr
 from ratecraft.operators.chartdata import histogram, period_trend
-from ratecraft.operators.effects import fit_effects, standard_effects
 from ratecraft.plans import oracle_base as ob
 from ratecraft.plans.pipeline import Pipeline
 from ratecraft.plans.registry import query
@@ -75,8 +74,7 @@ def _effects_hist_sql():
 @query("hist_effects", _effects_hist_sql())
 def hist_effects(spark, sf):
     """Histograms of the five plain effects fitted on edx_train."""
-    p = P(spark, sf)
-    m = fit_effects(p.edx_train, standard_effects(), None)
+    m = P(spark, sf).plain_model()
     out = None
     for i, e in enumerate(m.effects):
         h = _hist_out(histogram(m.effect_table(i), e.name, EFFECT_BINS[e.name]))

@@ -8,7 +8,6 @@ from ratecraft.functions.features import (YEAR_PATTERN, first_genre, from_epoch_
                                           release_year, round_to_period)
 from ratecraft.operators import profile as pr
 from ratecraft.operators.chartdata import box_stats
-from ratecraft.operators.effects import fit_effects, standard_effects
 from ratecraft.operators.joins import natural_left_join
 from ratecraft.operators.prepare import correct_ids
 from ratecraft.plans import oracle_base as ob
@@ -264,7 +263,7 @@ LEFT JOIN movie_titles t ON b.item_id = t.item_id ORDER BY round(b.b_i, 9) {o},
 
 def movie_report(spark, sf, desc):
     p = P(spark, sf)
-    m = fit_effects(p.edx_train, standard_effects(upto=1), None)
+    m = p.plain_model()
     counts = pr.count_by(p.edx_train, "item_id", "n")
     rep = natural_left_join(counts, m.effect_table(0))
     rep = rep.join(p.movie_titles, "item_id", "left")
@@ -284,8 +283,7 @@ ORDER BY round(abs(residual), 9) DESC, item_id, user_id, ts LIMIT 20""", ["edx_t
 def largest_residuals(spark, sf):
     """The 20 test rows the movie-effect model misses most."""
     p = P(spark, sf)
-    m = fit_effects(p.edx_train, standard_effects(upto=1), None)
-    pred = m.predict(p.edx_test).withColumn("residual", F.col("rating") - F.col("pred"))
+    pred = p.plain_model().predict(p.edx_test, upto=1).withColumn("residual", F.col("rating") - F.col("pred"))
     return pr.top_n(pred, [F.round(F.abs("residual"), 9).desc(), F.col("item_id"), F.col("user_id"),
                            F.col("ts")], 20) \
         .select("user_id", "item_id", "title", _r6("residual").alias("residual"))
