@@ -198,7 +198,10 @@ def fit_effects(train: DataFrame, effects: Sequence[Effect], lambdas=None,
     """
     by = tuple(by)
     effects = list(effects)
-    keep = (lambda df, name: materialize(df, name)) if persist else (lambda df, name: df)
+    # Effect tables come out of a hash aggregate (even by construction, a hot
+    # key is one row) and the joined rows inherit the input's partitioning,
+    # so neither needs a rebalancing shuffle before the write.
+    keep = (lambda df, name: materialize(df, name, rebalance=False)) if persist else (lambda df, name: df)
     lambda_table = None
     if lambdas is None or isinstance(lambdas, (int, float)):
         slots = [None if lambdas is None else float(lambdas)]
