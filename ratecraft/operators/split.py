@@ -34,6 +34,22 @@ def with_fold(df: DataFrame, k: int, cols: Sequence[str], seed: int = 0, name: s
     return df.withColumn(name, hash_bucket(cols, k, seed))
 
 
+def stratified_sample(df: DataFrame, strata: str, fraction: float, cols: Sequence[str],
+                      seed: int = 0, name: str = "is_test", accuracy: int = 10000) -> DataFrame:
+    """Flag about ``fraction`` of the rows of every stratum (a stratified draw).
+
+    Rows are ranked by a seeded hash of ``cols``; each stratum's cut is the
+    ``fraction`` quantile of its hashes (``percentile_approx``: a bounded
+    sketch merged map-side, so a stratum holding a third of the rows is no
+    problem). The draw is deterministic and independent of partitioning.
+    """
+    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]).cast("double")
+    hashed = df.withColumn("__h", h)
+    cuts = hashed.groupBy(strata).agg(F.percentile_approx("__h", fraction, accuracy).alias("__cut"))
+    return (keyed_join(hashed, cuts, [strata], "left", null_safe=[strata])
+            .withColumn(name, F.col("__h") <= F.col("__cut")).drop("__h", "__cut"))
+
+
 def flag_fold_guard(df: DataFrame, fold: Column | str, k: int,
                     keys: Iterable[str] = ("item_id", "user_id")) -> DataFrame:
     """Add ``__keep``: the row is a test row of its own fold and passes the guard.

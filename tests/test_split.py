@@ -42,3 +42,29 @@ def test_expand_folds_matches_per_fold_loop(spark):
         assert got_te == len(te)
         assert got_tr == len(rows) - len(te)
         assert sizes[h].n_test == len(te) and sizes[h].n_train == len(rows) - len(te)
+
+
+def test_hash_folds_are_deterministic_and_even(spark):
+    from ratecraft.operators.split import with_fold
+    from ratecraft.sources.fixtures import load_ratings
+    r = load_ratings(spark, SF01)
+    a = with_fold(r, 5, ["user_id", "item_id", "ts"], seed=10)
+    b = with_fold(r.repartition(7), 5, ["user_id", "item_id", "ts"], seed=10)
+    ca = {x.fold: x["count"] for x in a.groupBy("fold").count().collect()}
+    cb = {x.fold: x["count"] for x in b.groupBy("fold").count().collect()}
+    assert ca == cb and set(ca) == set(range(5))
+    n = sum(ca.values())
+    assert all(abs(v / n - 0.2) < 0.02 for v in ca.values())
+
+
+def test_stratified_sample_hits_every_stratum(spark):
+    from ratecraft.operators.split import stratified_sample
+    from ratecraft.sources.fixtures import load_ratings
+    r = load_ratings(spark, SF01)
+    s = stratified_sample(r, "rating", 0.1, ["user_id", "item_id", "ts"], seed=1)
+    per = s.groupBy("rating").agg(F.avg(F.col("is_test").cast("double")).alias("share"),
+                                  F.count(F.lit(1)).alias("n")).collect()
+    for row in per:
+        if row.n >= 200:
+            assert abs(row.share - 0.1) < 0.02, row
+    assert s.count() == r.count()
