@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratecraft.operators.joins import keyed_join
@@ -56,21 +56,23 @@ def flag_fold_guard(df: DataFrame, fold: Column | str, k: int,
 
     ``fold`` outside 0..k-1 (or null) means the row is never a test row.
     A key is known for fold f when it has at least one row outside fold f.
-    Null keys match each other, as in dplyr's semi join.
+    One aggregate per key gives its total row count and its row count in
+    every fold (an array of k counts); a row is then checked against its
+    own fold's entry. Null keys match each other, as in dplyr's semi join.
     """
     fold_c = F.col(fold) if isinstance(fold, str) else fold
     out = df.withColumn("__fold", F.when((fold_c >= 0) & (fold_c < k), fold_c.cast("int")))
+    keys = list(keys)
     keep = F.col("__fold").isNotNull()
     for i, key in enumerate(keys):
-        per = out.groupBy(key, "__fold").agg(F.count(F.lit(1)).alias("__n_kf"))
-        # at most k+1 rows per key in this window, so the group size is bounded
-        tot = F.sum("__n_kf").over(Window.partitionBy(key))
-        known = (per.withColumn(f"__known{i}", (tot - F.col("__n_kf")) > 0)
-                 .filter(F.col("__fold").isNotNull())
-                 .select(key, "__fold", f"__known{i}"))
-        out = keyed_join(out, known, [key, "__fold"], "left", null_safe=[key])
-        keep = keep & F.coalesce(F.col(f"__known{i}"), F.lit(False))
-    return out.withColumn(KEEP, keep).drop(*[f"__known{i}" for i in range(len(list(keys)))])
+        per = out.groupBy(key).agg(
+            F.count(F.lit(1)).alias(f"__tot{i}"),
+            F.array(*[F.count_if(F.col("__fold") == f) for f in range(k)]).alias(f"__nf{i}"))
+        out = keyed_join(out, per, [key], "left", null_safe=[key])
+        known = (F.col(f"__tot{i}") - F.element_at(F.col(f"__nf{i}"), F.col("__fold") + 1)) > 0
+        keep = keep & F.coalesce(known, F.lit(False))
+    drop = [c for i in range(len(keys)) for c in (f"__tot{i}", f"__nf{i}")]
+    return out.withColumn(KEEP, keep).drop(*drop)
 
 
 def guarded_split(df: DataFrame, test_cond: Column,
