@@ -72,16 +72,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/scratch-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str, rebalance: bool = True):
+def materialize(df, name: str, rebalance: bool = False):
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
     Cuts lineage like ``checkpoint()`` (the table survives executor loss,
     unlike a local checkpoint), and the re-read keeps Parquet column pruning,
     filter pushdown and file statistics for the planner.
 
-    ``rebalance`` lets AQE even out the written files (splitting a partition
-    that a hot key made huge, merging tiny ones), so no single task writes
-    a third of the table and later scans get evenly sized splits.
+    ``rebalance`` adds an AQE rebalance before the write (splitting a
+    partition that a hot key made huge, merging tiny ones) for outputs that
+    are not already evenly partitioned; joins feeding the write are
+    balanced by AQE's skew-join split, so it is off by default.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
