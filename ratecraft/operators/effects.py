@@ -220,7 +220,8 @@ def fit_effects(train: DataFrame, effects: Sequence[Effect], lambdas=None,
         if len(effects) > 1:
             shared = EffectModel(mu, effects, first_tables, slots[:1], by, rating, lambda_table)
             # training rows + first-effect statistics (narrow), scanned by every later stage
-            base = keep(shared.attach(rows, 1), "rows")
+            base = materialize(shared.attach(rows, 1), "rows", rebalance=True) if persist else \
+                shared.attach(rows, 1)
     chunks = [slots[i:i + LAMBDA_CHUNK] for i in range(0, len(slots), LAMBDA_CHUNK)]
     models = [EffectModel(mu, effects, list(first_tables), c, by, rating, lambda_table) for c in chunks]
     if len(models) == 1:

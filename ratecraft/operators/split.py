@@ -86,7 +86,7 @@ def guarded_split(df: DataFrame, test_cond: Column,
     """
     flagged = flag_fold_guard(df, F.when(F.coalesce(test_cond, F.lit(False)), F.lit(0)), 1, keys)
     if persist:
-        flagged = materialize(flagged.select(*df.columns, KEEP), "guarded")
+        flagged = materialize(flagged.select(*df.columns, KEEP), "guarded", rebalance=True)
     cols = df.columns
     return (flagged.filter(~F.col(KEEP)).select(*cols),
             flagged.filter(F.col(KEEP)).select(*cols))
@@ -116,7 +116,7 @@ def expand_folds(df: DataFrame, fold: Column | str, k: int,
     if not persist:
         return (flagged.select(F.explode(hs).alias(h), *cols),
                 flagged.filter(F.col(KEEP)).select(F.col("__fold").alias(h), *cols))
-    flagged = materialize(flagged.select(*cols, "__fold", KEEP), "folds")
+    flagged = materialize(flagged.select(*cols, "__fold", KEEP), "folds", rebalance=True)
     test = flagged.filter(F.col(KEEP)).select(F.col("__fold").alias(h), *cols)
     # The copy multiplies rows by k inside each task, so spread the (narrow)
     # input first: enough partitions that each task emits ~ROWS_PER_TASK

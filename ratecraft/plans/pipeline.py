@@ -68,7 +68,7 @@ class Pipeline:
     def movielens(self) -> DataFrame:
         # fact LEFT JOIN dimension; the planner broadcasts items when its
         # (checked, estimated) size is under the threshold, else shuffles
-        return materialize(self.ratings.join(self.items, "item_id", "left"), "movielens")
+        return materialize(self.ratings.join(self.items, "item_id", "left"), "movielens", rebalance=True)
 
     @cached_property
     def _outer(self):
@@ -84,7 +84,7 @@ class Pipeline:
 
     @cached_property
     def edx(self) -> DataFrame:
-        return materialize(add_features(correct_ids(self.edx_raw, self.corrections)), "edx")
+        return materialize(add_features(correct_ids(self.edx_raw, self.corrections)), "edx", rebalance=True)
 
     @cached_property
     def validation(self) -> DataFrame:

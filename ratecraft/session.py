@@ -80,9 +80,10 @@ def materialize(df, name: str, rebalance: bool = False):
     filter pushdown and file statistics for the planner.
 
     ``rebalance`` adds an AQE rebalance before the write (splitting a
-    partition that a hot key made huge, merging tiny ones) for outputs that
-    are not already evenly partitioned; joins feeding the write are
-    balanced by AQE's skew-join split, so it is off by default.
+    partition that a hot key made huge, merging tiny ones). Row-level tables
+    that later stages scan many times use it, so those scans get evenly
+    sized splits; small aggregate outputs (one row per key, already hash
+    partitioned by their aggregate) skip the extra shuffle.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
