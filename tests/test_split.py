@@ -68,3 +68,10 @@ def test_stratified_sample_hits_every_stratum(spark):
         if row.n >= 200:
             assert abs(row.share - 0.1) < 0.02, row
     assert s.count() == r.count()
+
+
+def test_sparse_filter_reaches_parquet_scan(spark):
+    r = load_ratings_sparse(spark, SF01)
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(l_shipdate" in plan
+    assert "l_comment" not in plan and "l_extendedprice" not in plan   # columns pruned
