@@ -80,3 +80,22 @@ def test_planted_structure_beats_naive(spark):
     naive = fit_effects(tr, [], None).rmse(te).first().rmse
     two = fit_effects(tr, standard_effects(upto=2), None).rmse(te).first().rmse
     assert two < 0.2 * naive
+
+
+def test_folds_as_key_equal_per_fold_loop(spark):
+    """All folds in one fit (fold key h) equal k separate guarded splits and fits."""
+    from ratecraft.operators.split import expand_folds, guarded_split
+    p = Pipeline.of(spark, SF)
+    data = p.edx_train
+    k, lams = 3, [0.0, 5.0]
+    fold = F.col("bucket") % k
+    train, test = expand_folds(data, fold, k)
+    got = {(r.h, r["lambda"]): (r.rmse, r.n) for r in
+           fit_effects(train, standard_effects(), lams, by=("h",)).rmse(test).collect()}
+    for h in range(k):
+        tr, te = guarded_split(data, fold == h)
+        for lam in lams:
+            one = fit_effects(tr, standard_effects(), lam).rmse(te).first()
+            g = got[(h, lam)]
+            assert g[1] == one.n
+            assert (g[0] is None and one.rmse is None) or math.isclose(g[0], one.rmse, rel_tol=1e-9)
