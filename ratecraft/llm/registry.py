@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from ratecraft.llm import sql
 from ratecraft.llm.op01_token_store import op1_token_store
+from ratecraft.llm.op07_decontam import op7_decontam
+from ratecraft.llm.op08_mix import op8_mix_sources
 
-QUERIES = {f.__name__: f for f in [op1_token_store]}
+QUERIES = {f.__name__: f for f in [op1_token_store, op7_decontam, op8_mix_sources]}
 ORACLE: dict[str, str] = dict(sql.ORACLE)

@@ -1,2 +1,66 @@
-"""DuckDB twins."""
-ORACLE: dict[str, str] = {}
+"""DuckDB twins of the queries that SQL can express."""
+
+from __future__ import annotations
+
+from ratecraft.llm import op08_mix as mix
+
+#: Words of benchmark and document texts: A-Z lower-cased, runs of digits, letters and non-ASCII.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAM = f"""
+WITH item_words AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark
+), wins AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS win, least(10, len(w)) AS n
+  FROM item_words, range(1, 1 + len(w) - least(10, len(w)) + 1) t(i) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT n FROM wins
+), doc_words AS (SELECT doc_id, {_WORDS} AS w FROM documents
+), grams AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM doc_words, sizes, range(1, 1 + greatest(0, len(w) - n + 1)) t(i)
+), found AS (SELECT doc_id, i, g.n, item_id FROM grams g JOIN wins USING (win)
+), hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM found, range(i, i + n) r(p) GROUP BY doc_id
+), its AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hit h ON h.doc_id = d.doc_id LEFT JOIN its s ON s.doc_id = d.doc_id
+"""
+
+_WEIGHTS = ", ".join(f"{w}.0::DOUBLE" for w in mix.WEIGHTS)
+MIX = rf"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents
+), per AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, [{_WEIGHTS}][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mix.WEIGHTS)}] AS weight
+  FROM per
+), capped AS (
+  SELECT *, {float(mix.MAX_REPEAT)}::DOUBLE * source_size AS cap,
+         {float(mix.MAX_REPEAT)}::DOUBLE * source_size / weight AS fill FROM weighed
+), levels AS (
+  SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE)
+             - coalesce(sum(cap) OVER (ORDER BY fill, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+            / sum(weight) OVER (ORDER BY fill, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM capped
+), level AS (SELECT arg_min(level, fill) AS level FROM levels WHERE level <= fill
+), targets AS (
+  SELECT source, source_size, least(cap, coalesce((SELECT level FROM level) * weight, cap)) AS target FROM capped
+), rates AS (
+  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM targets
+), picked AS (
+  SELECT doc_id, s.source, size, source_size, target,
+         CAST(floor(rate) AS BIGINT) + CAST(
+           CAST('0x' || substr(md5('{mix.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT)
+             / {float(16 ** 13)!r}::DOUBLE < rate - floor(rate) AS BIGINT) AS copies
+  FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source
+)
+SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM picked
+"""
+
+ORACLE: dict[str, str] = {"op7_decontam": DECONTAM, "op8_mix_sources": MIX}
