@@ -3,30 +3,62 @@
 Each stage is a function (spark, docs, sf_dir) -> DataFrame. ``run`` writes a
 stage's rows as Parquet in the shared folder and hands the reread table to the
 next stage, so each stage starts from a committed table and works on all that
-its predecessor kept.
+its predecessor kept. All stages but the last return the columns of
+``documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ratecraft.llm.common import table
 from ratecraft.llm.op01_token_store import token_store
+from ratecraft.llm.op05_superminhash import drop_duplicates
+from ratecraft.llm.op07_decontam import clean_documents
+from ratecraft.llm.op08_mix import emit_mix
+from ratecraft.llm.op10_toxicity import keep_clean
 from ratecraft.session import materialize
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not reject (score below 0.5)."""
+    return keep_clean(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the smallest id, of each near-duplicate group."""
+    return drop_duplicates(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return emit_mix(docs)
+
+
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token-ID store of every document that is left; its index is the result."""
     return token_store(docs)
 
 
-STAGES = [("token_store", encode_tokens)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("minhash_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("mix_sources", mix_sources),
+    ("token_store", encode_tokens),
+]
 
-#: The stages hold trained models and link search, which SQL cannot express.
+#: The stages hold a trained model, link search and encoded ids, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

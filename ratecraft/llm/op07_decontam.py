@@ -187,6 +187,12 @@ def hit_words() -> F.Column:
     return merged
 
 
+def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """Rows of ``docs`` in which no window of the benchmark occurs."""
+    return scan_documents(docs, benchmark, **options).filter(F.size("hits") == 0).select(
+        *[F.col(f"`{c}`") for c in docs.columns if c not in ("n_words", "hits", "items")])
+
+
 def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return scanned.select(

@@ -287,6 +287,12 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(_score_batches(shared), T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
+def keep_clean(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
+    """Rows of ``docs`` whose score is below ``limit``."""
+    return (score_documents(docs, fit(docs, labels)).filter(F.col("score") < limit)
+            .select(*[F.col(f"`{c}`") for c in docs.columns if c != "score"]))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))

@@ -7,7 +7,8 @@ from ratecraft.llm.op01_token_store import op1_token_store
 from ratecraft.llm.op05_superminhash import op5_minhash_dedup
 from ratecraft.llm.op07_decontam import op7_decontam
 from ratecraft.llm.op08_mix import op8_mix_sources
+from ratecraft.llm.op09_url_rules import op9_url_rules
 from ratecraft.llm.op10_toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in [op1_token_store, op5_minhash_dedup, op7_decontam, op8_mix_sources, op10_toxicity]}
+QUERIES = {f.__name__: f for f in [op1_token_store, op5_minhash_dedup, op7_decontam, op8_mix_sources, op9_url_rules, op10_toxicity]}
 ORACLE: dict[str, str] = dict(sql.ORACLE)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ratecraft.llm import op08_mix as mix
+from ratecraft.llm import op09_url_rules as urls
 
 #: Words of benchmark and document texts: A-Z lower-cased, runs of digits, letters and non-ASCII.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -63,4 +64,44 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM picked
 """
 
-ORACLE: dict[str, str] = {"op7_decontam": DECONTAM, "op8_mix_sources": MIX}
+_RULE = " ".join(
+    f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN struct_pack(rule := '{h}{p}', verdict := '{v}')"
+    for h, p, v in sorted(urls.RULES, key=lambda r: -len(r[0] + r[1])))
+URLS = rf"""
+WITH rest AS (
+  SELECT page_id, url, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r
+  FROM pages
+), parts AS (
+  SELECT page_id, url, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest
+), ruled AS (SELECT *, CASE {_RULE} END AS fit FROM parts
+), tok AS (
+  SELECT DISTINCT url, unnest(list_concat(
+      ['scheme=' || regexp_extract(url, '^([^:]*)://', 1)],
+      list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: 'host=' || array_to_string(string_split(host, '.')[i:], '.')),
+      list_transform(list_filter(string_split(path, '/'), lambda s: NOT regexp_matches(s, '^[0-9]*$')), lambda s: 'path=' || s),
+      list_transform(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda s: s <> ''),
+                     lambda s: 'key=' || regexp_extract(s, '^([^=]*)', 1)))) AS t
+  FROM (SELECT DISTINCT url, host, path FROM parts WHERE host <> '')
+), known AS (
+  SELECT doc_id AS page_id, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels
+  WHERE doc_id IS NOT NULL AND (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY doc_id
+), labelled AS (
+  SELECT url, count(*) AS n, count(*) FILTER (WHERE bad) AS n_bad FROM parts JOIN known USING (page_id) GROUP BY url
+), least_count AS (SELECT ceil({urls.MIN_SUPPORT} * sum(n)) AS c FROM labelled
+), sets AS (
+  SELECT t AS t1, t AS t2, n, n_bad FROM tok JOIN labelled USING (url)
+  UNION ALL
+  SELECT a.t, b.t, n, n_bad FROM tok a JOIN tok b ON a.url = b.url AND a.t < b.t JOIN labelled l ON l.url = a.url
+), mined AS (
+  SELECT t1, t2 FROM sets GROUP BY t1, t2
+  HAVING sum(n_bad) >= (SELECT c FROM least_count) AND sum(n_bad) > 0 AND sum(n_bad) / sum(n) >= {urls.MIN_CONFIDENCE}
+), hits AS (
+  SELECT DISTINCT a.url FROM mined JOIN tok a ON a.t = t1 JOIN tok b ON b.t = t2 AND b.url = a.url
+)
+SELECT page_id, host, path, fit.rule AS rule,
+       coalesce(fit.verdict, CASE WHEN url IN (SELECT url FROM hits) THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled
+"""
+
+ORACLE: dict[str, str] = {"op7_decontam": DECONTAM, "op8_mix_sources": MIX, "op9_url_rules": URLS}
