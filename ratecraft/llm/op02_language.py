@@ -115,7 +115,7 @@ def kneser_ney(lang: np.ndarray, order: np.ndarray, gram: np.ndarray, context: n
     for li in range(len(langs)):
         prob = np.full(size, np.nan)
         for n in range(1, ORDER + 1):
-            own = np.flatnonzero((lang == li) & (order == n))
+            own = np.flatnonzero((lang == li) & (order == n) & ~((order == 1) & initial))   # the start mark is only a context
             c = count[own].astype(np.float64)
             if n < ORDER:                        # distinct left extensions, from the next order
                 up = np.flatnonzero((lang == li) & (order == n + 1))
@@ -188,11 +188,9 @@ def _count_grams(batches):
                 at = np.zeros(len(cps), np.uint64)
                 at[end] = h
                 first = cps[end - n + 1] == LEFT
-                keep = (cps[end] != LEFT) if n == 1 else np.ones(len(h), bool)
                 w = of_word[end]
                 part = {"kind": kinds[w], "gram": h, "context": at[end] if n == 1 else lower[end - 1],
                         "suffix": at[end] if n == 1 else lower[end], "initial": first, "count": count[w]}
-                part = {k: v[keep] for k, v in part.items()}
                 lower = at
                 # one row for each (language, n-gram) of this slice
                 order = np.lexsort((part["gram"], part["kind"]))
