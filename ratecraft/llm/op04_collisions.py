@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratecraft.llm.common import components, ship, table
-from ratecraft.llm.op05_superminhash import runs
+from ratecraft.llm.op05_superminhash import in_blocks, runs, smallest_of_part
 from ratecraft.session import materialize
 
 COSINE = 0.93
@@ -146,18 +146,6 @@ def _block_links(a: dict, b: dict | None, tbl: int, half: float, least: int):
     return i[keep], j[keep]
 
 
-def _smallest(n: int, i: np.ndarray, j: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """Smallest ``value`` of each node's connected part, by label passing."""
-    low = value.copy()
-    while True:
-        new = low.copy()
-        np.minimum.at(new, i, low[j])
-        np.minimum.at(new, j, low[i])
-        if np.array_equal(new, low):
-            return low
-        low = new
-
-
 def _link_cells(batches):
     half, least = window(), required()
     for t in runs(batches, ["label", "dim", "tbl", "cell", "bi", "bj"]):
@@ -175,7 +163,7 @@ def _link_cells(batches):
             continue
         i, j = one[i], (one if two is None else two)[j]
         n = np.bincount(i, weights=full["weight"][j], minlength=t.num_rows) + np.bincount(j, weights=full["weight"][i], minlength=t.num_rows)
-        root = _smallest(t.num_rows, i, j, full["rep"])
+        root = smallest_of_part(t.num_rows, i, j, full["rep"])
         at = np.flatnonzero(n)
         yield pa.record_batch([pa.array(full["rep"][at]), pa.array(n[at].astype(np.int64)), pa.array(root[at])], names=["rep", "links", "root"])
 
@@ -199,10 +187,7 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
                         .mapInArrow(_deal, _DEALT), "vec-cells")
     cell = ["label", "dim", "tbl", "cell"]
     sizes = dealt.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
-    split = (dealt.join(sizes, cell)
-             .withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .withColumn("bi", F.least("blk", "other")).withColumn("bj", F.greatest("blk", "other")).drop("other", "blocks"))
+    split = in_blocks(dealt.join(sizes, cell), F.col("blocks")).drop("other", "blocks")
     unit = [*cell, "bi", "bj"]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = materialize(split.repartition(n, *unit).sortWithinPartitions(*unit)

@@ -12,15 +12,18 @@
 3. ``M`` = ``BANDS`` x ``ROWS``. Classes that agree in a band share a bucket. A
    pair at similarity s shares one with probability 1 - (1 - s^ROWS)^BANDS; at
    0.8 all but 5 in 10^8 do.
-4. Each member of a bucket is paired with the bucket's smallest class, a pair
-   whose signatures are far apart (``SLACK`` below the limit) is dropped, and
-   the rest is confirmed on the full sets, recomputed for those documents
-   only. Confirmed links are grouped by union-find.
-5. A link between two members that are not joined yet is looked for in a
-   second pass over buckets that hold several groups: buckets are dealt into
-   blocks, block pairs compare signatures, and only pairs of different groups
-   are confirmed. So a bucket of n copies costs n links, not n^2, and no
-   bucket is capped.
+4. Families: each member of a bucket is compared with the bucket's smallest
+   class by signature, and pairs within ``SLACK`` of the limit are joined by
+   union-find. Buckets that then hold several families are dealt into blocks
+   whose block pairs compare signatures across families. Every pair that shares
+   a bucket and may reach the limit so ends up in one family, and a bucket of n
+   copies gives n edges, not n^2.
+5. Links: the texts of the families alone are shingled again. Families are
+   dealt into blocks bounded in documents and in shingles, and a block pair
+   counts all its intersections exactly, from the shingles that two of its
+   documents hold. It returns a spanning forest of the links that reach the
+   limit, never the pairs; union-find joins these to the groups. No bucket or
+   family is capped.
 
 Defined cases: null, empty and white-space-only texts have no shingles and
 link with nothing; a null id takes part in no group (component_id null, kept
@@ -44,7 +47,10 @@ SIMILARITY = 80          # per cent
 BANDS, ROWS = 32, 4
 M = BANDS * ROWS
 SLACK = 0.16             # 4.5 standard deviations of the estimate at 0.8
-BLOCK = 512
+BLOCK = 512              # classes of a bucket compared together by signature
+SET_BLOCK = 256          # documents of a family compared together exactly
+SET_SHINGLES = 200_000   # and their shingles
+COLUMNS = 8192
 PIECE = 4 << 20
 _SEP = np.zeros(256, bool)
 _SEP[[0x20, *range(0x09, 0x0E)]] = True
@@ -199,8 +205,8 @@ def _sets(batches):
         for part in text_parts(batch):
             raw, offsets = utf8_buffer(part.column("text"))
             value, starts = shingles(raw, offsets)
-            yield pa.record_batch([part.column("doc_id"), pa.ListArray.from_arrays(
-                pa.array(starts, pa.int32()), pa.array(value.view(np.int64)))], names=["doc_id", "set"])
+            yield pa.record_batch([part.column("doc_id"), part.column("family"), part.column("size"), pa.ListArray.from_arrays(
+                pa.array(starts, pa.int32()), pa.array(value.view(np.int64)))], names=["rep", "family", "size", "set"])
 
 
 def _near(limit: float):
@@ -235,7 +241,7 @@ def runs(batches, keys: list[str]):
 
 
 def _cross_pairs(limit: float):
-    """Within block pairs of buckets: pairs of different groups that may reach the limit."""
+    """Within block pairs of buckets: edges that span what may be linked across families."""
     def run(batches):
         for t in runs(batches, ["key", "bi", "bj"]):
             blk, bi, bj = (t.column(c).to_numpy() for c in ("blk", "bi", "bj"))
@@ -243,78 +249,141 @@ def _cross_pairs(limit: float):
             sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), "<u2").reshape(-1, M)
             left = np.flatnonzero(blk == bi[0])
             right = left if bi[0] == bj[0] else np.flatnonzero(blk == bj[0])
-            out = []
+            family = np.unique(g, return_inverse=True)[1]
+            edges = []
             for i in left:
                 others = right[right > i] if right is left else right
-                others = others[(g[others] != g[i]) & (100 * np.minimum(n[others], n[i]) >= SIMILARITY * np.maximum(n[others], n[i]))]
+                others = others[(family[others] != family[i]) & (100 * np.minimum(n[others], n[i]) >= SIMILARITY * np.maximum(n[others], n[i]))]
                 if len(others):
                     others = others[(sig[others] == sig[i]).mean(axis=1) >= limit]
-                    out.append(np.stack([np.minimum(rep[others], rep[i]), np.maximum(rep[others], rep[i])]))
-            if out:
-                a, b = np.concatenate(out, axis=1)
+                    joined, at = np.unique(family[others], return_index=True)
+                    edges += [(rep[i], rep[k]) for k in others[at]]
+                    family[np.isin(family, joined)] = family[i]
+            if edges:
+                a, b = np.array(edges, np.int64).T
                 yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
     return run
 
 
+def smallest_of_part(n: int, i: np.ndarray, j: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Smallest ``value`` of each node's connected part (edges i-j), by label passing."""
+    low = value.copy()
+    while True:
+        new = low.copy()
+        np.minimum.at(new, i, low[j])
+        np.minimum.at(new, j, low[i])
+        if np.array_equal(new, low):
+            return low
+        low = new
+
+
+def common_counts(values: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets at ``left`` with those at ``right``."""
+    size = np.array([len(v) for v in values])
+    row = np.repeat(np.arange(len(values)), size)
+    _, column, count = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
+    shared = count > 1                            # a shingle of one set alone is in no intersection
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    row, column = row[keep], number[column[keep]]
+    out = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for lo in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(column, [lo, lo + COLUMNS])
+        part = np.zeros((len(values), COLUMNS), np.float32)
+        part[row[a:b], column[a:b] - lo] = 1
+        out += part[left] @ part[right].T
+    return out.astype(np.int64)
+
+
+def _exact_links(batches):
+    """Within block pairs of families: a spanning forest of the confirmed links."""
+    for t in runs(batches, ["family", "bi", "bj"]):
+        blk, bi, bj = (t.column(c).to_numpy() for c in ("blk", "bi", "bj"))
+        rep = t.column("rep").to_numpy()
+        sets = t.column("set").combine_chunks()
+        flat, starts = sets.values.to_numpy(), sets.offsets.to_numpy()
+        values = [flat[a:b] for a, b in zip(starts[:-1], starts[1:])]
+        left, right = np.flatnonzero(blk == bi[0]), np.flatnonzero(blk == bj[0])
+        if not len(left) or not len(right) or t.num_rows < 2:
+            continue
+        n = np.array([len(v) for v in values], np.int64)
+        common = common_counts(values, left, right)
+        linked = 100 * common >= SIMILARITY * (n[left][:, None] + n[right][None, :] - common)
+        i, j = np.nonzero(linked)
+        root = smallest_of_part(t.num_rows, left[i], right[j], rep)
+        at = np.flatnonzero(root != rep)
+        if len(at):
+            yield pa.record_batch([pa.array(rep[at]), pa.array(root[at])], names=["a", "b"])
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set digest (k1, k2), band keys and 16-bit signature of each document."""
     ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sign, _SIGNED)
 
 
-def _confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the limit."""
-    need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(need, "doc_id", "left_semi")
-    sets = materialize(texts.mapInArrow(_sets, "doc_id long, set array<long>"), "shingle-sets")
-    both = (pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b")
-            .join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a"))
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    return (both.withColumn("common", common)
-            .filter(100 * F.col("common") >= SIMILARITY * (F.size("set_a") + F.size("set_b") - F.col("common")))
-            .select("a", "b").distinct())
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
-    signed = materialize(signatures(docs), "minhash-signed")
-    classes = materialize(
-        signed.filter("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2", "n_shingles")
-        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "minhash-classes")
+def _families(classes: DataFrame) -> DataFrame:
+    """(node, root) of the families of ``classes``: a superset of the links, by bands and signatures."""
     limit = SIMILARITY / 100 - SLACK
-    fits = lambda x, y: 100 * F.least(x, y) >= SIMILARITY * F.greatest(x, y)
-
     rows = classes.select(F.explode("bands").alias("key"), "rep", F.col("n_shingles").alias("n"))
     pivots = (rows.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("p"), F.count(F.lit(1)).alias("size"))
               .filter("size > 1"))
-    pairs = (rows.join(pivots, "key").filter("rep != p.rep").filter(fits(F.col("n"), F.col("p.n")))
+    fits = 100 * F.least("n", "p.n") >= SIMILARITY * F.greatest("n", "p.n")
+    pairs = (rows.join(pivots, "key").filter("rep != p.rep").filter(fits)
              .select(F.col("p.rep").alias("a"), F.col("rep").alias("b")).distinct())
     sig = classes.select("rep", "sig")
     near = (pairs.join(sig.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b")
             .join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a")
-            .select("a", "b", "sig_a", "sig_b").mapInArrow(_near(limit), "a long, b long").distinct())
-    links = materialize(_confirm(docs, materialize(near, "minhash-pairs")), "minhash-links")
-    groups = components(links, "minhash")
+            .select("a", "b", "sig_a", "sig_b").mapInArrow(_near(limit), "a long, b long"))
+    near = materialize(near.distinct(), "minhash-near")
+    groups = components(near, "minhash-near")
 
-    # links between members of a bucket that the smallest member does not join
     member = (rows.join(pivots.select("key", F.col("p.rep").alias("pivot"), "size").filter("size > 2"), "key")
               .filter("rep != pivot")
               .join(groups, F.col("rep") == F.col("node"), "left")
               .select("key", "rep", "n", "size", F.coalesce("root", "rep").alias("g")))
     mixed = member.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo < hi").select("key")
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    member = (member.join(mixed, "key").join(sig, "rep")
-              .withColumn("blocks", blocks)
-              .withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .withColumn("bi", F.least("blk", "other")).withColumn("bj", F.greatest("blk", "other"))
-              .select("key", "bi", "bj", "blk", "rep", "g", "n", "sig"))
-    dealt = member.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
-    more = materialize(dealt.mapInArrow(_cross_pairs(limit), "a long, b long").distinct(), "minhash-pairs")
-    if not more.isEmpty():
-        more = materialize(_confirm(docs, more), "minhash-links")
-        groups = components(links.union(more), "minhash")
+    member = in_blocks(member.join(mixed, "key").join(sig, "rep"), F.ceil(F.col("size") / F.lit(BLOCK)))
+    dealt = (member.select("key", "bi", "bj", "blk", "rep", "g", "n", "sig")
+             .repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj"))
+    more = dealt.mapInArrow(_cross_pairs(limit), "a long, b long").distinct()
+    return components(near.union(more), "minhash-families")
+
+
+def in_blocks(rows: DataFrame, blocks: F.Column) -> DataFrame:
+    """Each row once for every pair (bi, bj) of blocks that its own block ``blk`` is part of."""
+    return (rows.withColumn("blocks", blocks.cast("int"))
+            .withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("bi", F.least("blk", "other")).withColumn("bj", F.greatest("blk", "other")))
+
+
+def _links(docs: DataFrame, classes: DataFrame, families: DataFrame) -> DataFrame:
+    """Edges (a, b) that span the links of the families, confirmed on full sets."""
+    member = classes.select("rep", F.col("n_shingles").alias("n"))
+    root = families.select("root").distinct().select(F.col("root").alias("node"), "root")
+    member = member.join(families.unionByName(root), F.col("rep") == F.col("node")).select("rep", "n", F.col("root").alias("family"))
+    size = member.groupBy("family").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(SET_BLOCK)), F.ceil(F.sum("n") / F.lit(SET_SHINGLES))).alias("size"))
+    member = materialize(member.join(size, "family").select("rep", "family", "size").distinct(), "minhash-members")
+    # by shuffle at every size: a plan that changes with the number of members would change what is moved
+    texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+             .join(member.hint("merge"), F.col("doc_id") == F.col("rep")).select("doc_id", "text", "family", "size"))
+    sets = in_blocks(texts.mapInArrow(_sets, "rep long, family long, size long, set array<long>"), F.col("size"))
+    dealt = (sets.select("family", "bi", "bj", "blk", "rep", "set")
+             .repartition("family", "bi", "bj").sortWithinPartitions("family", "bi", "bj"))
+    return dealt.mapInArrow(_exact_links, "a long, b long").distinct()
+
 
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
+    signed = materialize(signatures(docs), "minhash-signed")
+    classes = materialize(
+        signed.filter("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2", "n_shingles")
+        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "minhash-classes")
+    groups = components(_links(docs, classes, _families(classes)), "minhash")
     of_class = (classes.select("k1", "k2", F.col("n_shingles").alias("n"), "rep")
                 .join(groups, F.col("rep") == F.col("node"), "left")
                 .select("k1", "k2", "n", F.coalesce("root", "rep").alias("root")))

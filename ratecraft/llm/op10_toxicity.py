@@ -46,8 +46,8 @@ ORDERS = (3, 4, 5)
 BUCKETS = 1 << 17
 DIM = 4
 WINDOW = 2
-MAX_ROWS = 2500             # labelled rows of each class that training may use
-MAX_PASSAGES = 400          # passages that training takes from one text, spread evenly
+MAX_ROWS = 1500             # labelled rows of each class that training may use
+MAX_PASSAGES = 300          # passages that training takes from one text, spread evenly
 EPOCHS = (30, 30, 30)       # Adam steps before each re-attribution of the toxic texts' labels
 DECAY = 0.02
 HARD = 4.0                  # extra weight of a clean passage that the model gets wrong
@@ -66,16 +66,21 @@ def letters_of(token: str) -> str:
 
 def word_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(bucket of every n-gram, start of each word's n-grams (n + 1)); a word without letters has none."""
-    cps, starts = code_points(words)
-    word_at = np.repeat(np.arange(len(words)), np.diff(starts))
-    gram, owner = [], []
-    for n in ORDERS:
-        h, end = rolling(cps, starts, n)
-        gram.append((h & np.uint64(BUCKETS - 1)).astype(np.int64))
-        owner.append(word_at[end])
-    gram, owner = np.concatenate(gram), np.concatenate(owner)
-    order = np.argsort(owner, kind="stable")
-    return gram[order], np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(words)))])
+    parts, counts = [], []
+    for lo, hi in slices([len(w) for w in words]):
+        cps, starts = code_points(words[lo:hi])
+        word_at = np.repeat(np.arange(hi - lo, dtype=np.int32), np.diff(starts))
+        gram, owner = [], []
+        for n in ORDERS:
+            h, end = rolling(cps, starts, n)
+            gram.append((h & np.uint64(BUCKETS - 1)).astype(np.int32))
+            owner.append(word_at[end])
+        gram, owner = np.concatenate(gram), np.concatenate(owner)
+        parts.append(gram[np.argsort(owner, kind="stable")])
+        counts.append(np.bincount(owner, minlength=hi - lo))
+    if not parts:
+        return np.zeros(0, np.int32), np.zeros(1, np.int64)
+    return np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
 
 
 def segment_mean(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -133,23 +138,24 @@ def train(texts: list[str | None], toxic: list[int], share: float | None = None,
     vocabulary: dict[str, int] = {}
     ids, doc_of, length = [], [], []
     for d, text in enumerate(texts):
-        w = np.array([vocabulary.setdefault(letters_of(t[:LONG_WORD]), len(vocabulary)) for t in (text or "").split()], np.int64)
+        w = np.array([vocabulary.setdefault(letters_of(t[:LONG_WORD]), len(vocabulary)) for t in (text or "").split()], np.int32)
         a, b = passages(len(w))
         if len(a) > MAX_PASSAGES:            # of a longer text, passages spread evenly
             keep = np.linspace(0, len(a) - 1, MAX_PASSAGES).astype(np.int64)
             a, b = a[keep], b[keep]
-        ids.extend(w[i:j] for i, j in zip(a, b))
-        doc_of.extend([d] * len(a))
-        length.extend((b - a).tolist())
-    doc_of, length = np.array(doc_of), np.array(length)
+        n = b - a
+        ids.append(w[np.arange(n.sum()) + np.repeat(a - (np.cumsum(n) - n), n)])
+        doc_of.append(np.full(len(a), d, np.int32))
+        length.append(n)
+    doc_of, length, word = (np.concatenate(x) for x in (doc_of, length, ids))
+    del ids
     p_start = np.concatenate([[0], np.cumsum(length)])
-    word = np.concatenate(ids)
-    p_of_word = np.repeat(np.arange(len(doc_of)), length)
+    p_of_word = np.repeat(np.arange(len(doc_of), dtype=np.int32), length)
     n_in = np.maximum(length, 1)
     types = list(vocabulary) or [""]
     gram, g_start = word_buckets(types)
     g_n = np.maximum(np.diff(g_start), 1)
-    type_of_gram = np.repeat(np.arange(len(types)), np.diff(g_start))
+    type_of_gram = np.repeat(np.arange(len(types), dtype=np.int32), np.diff(g_start))
 
     rng = np.random.default_rng(seed)
     kept = rng.random(len(y_doc)) >= CALIBRATE          # the rest calibrates the score
