@@ -45,10 +45,10 @@ from ratecraft.session import materialize
 ORDER = 4
 MAX_DOCS = 2500              # training documents of a language (about, by hash)
 TOTAL_DOCS = 50_000          # of all languages together
-MAX_CELLS = 8_000_000        # n-grams times languages of the model
+MAX_CELLS = 4_000_000        # n-grams times languages of the model
 CALIBRATE = 0.2              # share of the sample that fits score and rejection
 TARGET_ERROR = 0.01
-CACHE_TOKENS = 400_000
+CACHE_TOKENS = 250_000
 LONG_WORD = 50_000
 FOLDS, HELD_OUT = 3, 1
 _RUN = re.compile(r"[^\W\d_]+")
@@ -76,7 +76,7 @@ class Model:
     def word_bits(self, words: list[str]) -> np.ndarray:
         """log2 probability of each word under each language."""
         out = np.zeros((len(words), len(self.langs)))
-        for lo, hi in slices([len(w) for w in words], 200_000):
+        for lo, hi in slices([len(w) for w in words], 100_000):
             out[lo:hi] = self._bits(words[lo:hi])
         return out
 
