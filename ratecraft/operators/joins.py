@@ -1,4 +1,4 @@
-"""Join helpers: R-style null-matching joins, natural joins, checked broadcast."""
+"""Join helpers: R-style null-matching joins, natural joins."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: Iterable[str],
                how: str = "left", null_safe: Iterable[str] = ()) -> DataFrame:
     """Equi-join on shared key names; keys in ``null_safe`` match null to null.
 
-    dplyr joins treat NA as equal to NA, Spark's ``=`` never matches null.
+    R joins treat NA as equal to NA, Spark's ``=`` never matches null.
     Null-safe keys use ``<=>``, which Spark still plans as a hash/sort-merge
     equi-join (the key is hashed together with its null flag). Output keeps
     one copy of each key column, like a USING join.
@@ -32,19 +32,8 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: Iterable[str],
 
 
 def natural_left_join(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Left join on every column name the two frames share (dplyr without ``by``)."""
+    """Left join on every column name the two frames share; null matches null."""
     shared = [c for c in left.columns if c in set(right.columns)]
     if not shared:
         raise ValueError("natural join needs at least one shared column")
-    return left.join(right, shared, "left")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1)``), so it never scans
-    more than needed; above the bound the frame is returned unchanged and the
-    planner uses a shuffle join (AQE may still broadcast from runtime sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return keyed_join(left, right, shared, "left", null_safe=shared)

@@ -6,21 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratecraft.functions.features import from_epoch_seconds, release_year, round_to_period
-from ratecraft.operators.joins import broadcast_if_small
 
 
 def correct_ids(df: DataFrame, corrections: DataFrame, key: str = "item_id",
-                extra: dict | None = None, max_rows: int = 100_000) -> DataFrame:
+                extra: dict | None = None) -> DataFrame:
     """Remap wrong ids and fix their columns in one projection.
 
     ``corrections`` holds ``old_id``, ``new_id`` and one column per entry of
     ``extra`` (target column -> correction column, default genres ->
     new_genres). Every replacement tests the *old* id, so the genre fix and
-    the id remap cannot interfere. The corrections table is broadcast after
-    a bounded size check.
+    the id remap cannot interfere. It is an equi-join on the old id, whose
+    strategy is the planner's choice; give a stored corrections table, so that
+    its ids are a column and not constants folded into a loop join.
     """
     extra = {"genres": "new_genres"} if extra is None else extra
-    corr = broadcast_if_small(corrections.select("old_id", "new_id", *extra.values()), max_rows)
+    corr = corrections.select("old_id", "new_id", *extra.values())
     j = df.join(corr, df[key] == corr["old_id"], "left")
     hit = F.col("old_id").isNotNull()
     repl = {key: F.when(hit, F.col("new_id")).otherwise(F.col(key))}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ratecraft.functions.features import split_genres
 from ratecraft.functions.stats import n_distinct
+from ratecraft.operators.joins import keyed_join
 
 
 def count_by(df: DataFrame, keys: Sequence[str] | str, name: str = "count") -> DataFrame:
@@ -50,27 +51,25 @@ def genre_counts_direct(df: DataFrame, genres: str = "genres") -> DataFrame:
             .groupBy("genre").agg(F.count(F.lit(1)).alias("count_ratings")))
 
 
-def column_summary(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """min, quartiles, mean, max and null count per numeric column (long form).
+def column_summary(df: DataFrame, cols: Sequence[str], exact: bool = False, accuracy: int = 100_000) -> DataFrame:
+    """min, quartiles, mean, max and null count per numeric or date column (long form, dates in days).
 
-    ``exact`` uses ``percentile`` (linear interpolation, kept as a value ->
-    count map per task), right for low-cardinality columns such as ratings
-    or years; use ``exact=False`` (``percentile_approx``, bounded memory)
-    for id-like columns with many distinct values.
+    One pass over the data computes every column. Quartiles interpolate
+    between the two values around them, found by ``percentile_approx``'s
+    bounded sketch when ``exact`` is off and by ``percentile`` (a value ->
+    count map for each column in one task, for columns with few values) when
+    it is on.
     """
-    parts = []
-    for c in cols:
-        x = F.col(c).cast("double")
+    kinds = dict(df.dtypes)
+    aggs = []
+    for i, c in enumerate(cols):
+        x = (F.unix_date(F.col(c).cast("date")) if kinds[c] in ("date", "timestamp", "timestamp_ntz") else F.col(c)).cast("double")
         q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-             else F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000).cast("array<double>"))
-        parts.append(df.agg(F.min(x).alias("min"), q.alias("__q"), F.avg(x).alias("mean"), F.max(x).alias("max"),
-                            F.count_if(F.col(c).isNull()).alias("n_na"))
-                     .select(F.lit(c).alias("column"), "min", F.col("__q")[0].alias("q1"),
-                             F.col("__q")[1].alias("median"), "mean", F.col("__q")[2].alias("q3"), "max", "n_na"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+             else F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy).cast("array<double>"))
+        aggs.append(F.struct(F.lit(c).alias("column"), F.min(x).alias("min"), F.get(q, 0).alias("q1"), F.get(q, 1).alias("median"),
+                             F.avg(x).alias("mean"), F.get(q, 2).alias("q3"), F.max(x).alias("max"),
+                             F.count_if(F.col(c).isNull()).alias("n_na")))
+    return df.agg(F.array(*aggs).alias("s")).select(F.inline("s"))
 
 
 def pattern_coverage(df: DataFrame, col: str, pattern: str) -> DataFrame:
@@ -84,8 +83,19 @@ def duplicated_rows(df: DataFrame, key: str, order: str) -> DataFrame:
     Uses a min-per-key aggregate joined back instead of a window over the
     key, so a very common key value does not end up in one task.
     """
+    return _with_first(df, key, order).filter(F.col(order) > F.col("__first")).drop("__first")
+
+
+def duplicate_counts(df: DataFrame, key: str, order: str) -> DataFrame:
+    """Rows whose ``key`` occurs for the first time and rows that repeat it: (repeated, n)."""
+    return _with_first(df, key, order).groupBy((F.col(order) > F.col("__first")).alias("repeated")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+def _with_first(df: DataFrame, key: str, order: str) -> DataFrame:
+    """``df`` with the smallest ``order`` of each key; null keys form one key."""
     first = df.groupBy(key).agg(F.min(order).alias("__first"))
-    return df.join(first, key, "inner").filter(F.col(order) > F.col("__first")).drop("__first")
+    return keyed_join(df, first, [key], "inner", null_safe=[key])
 
 
 def dataset_sizes(named: dict[str, DataFrame]) -> DataFrame:

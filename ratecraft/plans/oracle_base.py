@@ -78,16 +78,16 @@ cte("items_dirty", """SELECT item_id, CASE WHEN item_id % 97 = 0 THEN 'untitled'
 FROM items""", ["items"])
 cte("corrections", """SELECT CAST(7 AS BIGINT) AS old_id, item_id AS new_id, genres AS new_genres
 FROM items WHERE item_id = 3""", ["items"])
-cte("movielens", """SELECT r.user_id, r.item_id, r.rating, r.ts, r.bucket, i.title, i.genres
+cte("rated_items", """SELECT r.user_id, r.item_id, r.rating, r.ts, r.bucket, i.title, i.genres
 FROM ratings r LEFT JOIN items i ON r.item_id = i.item_id""", ["ratings", "items"])
 
 # --- outer split: test = bucket 0 -----------------------------------------
-cte("ml_flag", """SELECT m.*, (bucket = 0
-    AND item_id IN (SELECT item_id FROM movielens WHERE bucket <> 0)
-    AND user_id IN (SELECT user_id FROM movielens WHERE bucket <> 0)) AS keep
-FROM movielens m""", ["movielens"])
-cte("edx_raw", "SELECT user_id, item_id, rating, ts, bucket, title, genres FROM ml_flag WHERE NOT keep", ["ml_flag"])
-cte("validation_raw", "SELECT user_id, item_id, rating, ts, bucket, title, genres FROM ml_flag WHERE keep", ["ml_flag"])
+cte("rated_flag", """SELECT m.*, (bucket = 0
+    AND item_id IN (SELECT item_id FROM rated_items WHERE bucket <> 0)
+    AND user_id IN (SELECT user_id FROM rated_items WHERE bucket <> 0)) AS keep
+FROM rated_items m""", ["rated_items"])
+cte("known_raw", "SELECT user_id, item_id, rating, ts, bucket, title, genres FROM rated_flag WHERE NOT keep", ["rated_flag"])
+cte("validation_raw", "SELECT user_id, item_id, rating, ts, bucket, title, genres FROM rated_flag WHERE keep", ["rated_flag"])
 
 
 def _corrected(src: str) -> str:
@@ -103,23 +103,23 @@ def _featured(src: str) -> str:
 FROM {src}"""
 
 
-cte("edx_corr", _corrected("edx_raw"), ["edx_raw", "corrections"])
-cte("edx", _featured("edx_corr"), ["edx_corr"])
+cte("known_corr", _corrected("known_raw"), ["known_raw", "corrections"])
+cte("known", _featured("known_corr"), ["known_corr"])
 cte("validation_corr", _corrected("validation_raw"), ["validation_raw", "corrections"])
 cte("validation", _featured("validation_corr"), ["validation_corr"])
 
-# --- inner split: test = bucket 1 of edx --------------------------------
-cte("edx_flag", """SELECT x.*, (bucket = 1
-    AND item_id IN (SELECT item_id FROM edx WHERE bucket <> 1)
-    AND user_id IN (SELECT user_id FROM edx WHERE bucket <> 1)) AS keep
-FROM edx x""", ["edx"])
-_EDX_COLS = "user_id, item_id, rating, ts, bucket, title, genres, release_year, rating_date"
-cte("edx_train", f"SELECT {_EDX_COLS} FROM edx_flag WHERE NOT keep", ["edx_flag"])
-cte("edx_test", f"SELECT {_EDX_COLS} FROM edx_flag WHERE keep", ["edx_flag"])
-
-cte("movie_titles_all", "SELECT DISTINCT item_id, title FROM edx_raw", ["edx_raw"])
-cte("movie_titles", """SELECT * FROM movie_titles_all
-WHERE item_id NOT IN (SELECT old_id FROM corrections)""", ["movie_titles_all", "corrections"])
+# --- inner split: test = bucket 1 of known --------------------------------
+cte("known_flag", """SELECT x.*, (bucket = 1
+    AND item_id IN (SELECT item_id FROM known WHERE bucket <> 1)
+    AND user_id IN (SELECT user_id FROM known WHERE bucket <> 1)) AS keep
+FROM known x""", ["known"])
+_KNOWN_COLS = "user_id, item_id, rating, ts, bucket, title, genres, release_year, rating_date"
+cte("fit_rows", f"SELECT {_KNOWN_COLS} FROM known_flag WHERE NOT keep", ["known_flag"])
+cte("tune_rows", f"SELECT {_KNOWN_COLS} FROM known_flag WHERE keep", ["known_flag"])
+
+cte("title_pairs", "SELECT DISTINCT item_id, title FROM known_raw", ["known_raw"])
+cte("item_titles", """SELECT * FROM title_pairs
+WHERE item_id NOT IN (SELECT old_id FROM corrections)""", ["title_pairs", "corrections"])
 
 
 # --- effect chains ------------------------------------------------------

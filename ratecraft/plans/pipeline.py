@@ -1,10 +1,10 @@
 """The analysis pipeline over the driver tables.
 
-movielens = ratings LEFT JOIN items
-edx, validation        guarded split, test = bucket 0
-edx (corrected)        id 7 -> 3 with item 3's genres, + release_year, rating_date
-edx_train, edx_test    guarded split of edx, test = bucket 1
-folds over edx_train   fold = bucket - 2 (buckets 2..9 -> 8 folds; put-back rows never test)
+rated_items = ratings LEFT JOIN items
+known, validation        guarded split, test = bucket 0
+known (corrected)        id 7 -> 3 with item 3's genres, + release_year, rating_date
+fit_rows, tune_rows    guarded split of known, test = bucket 1
+folds over fit_rows   fold = bucket - 2 (buckets 2..9 -> 8 folds; put-back rows never test)
 """
 
 from __future__ import annotations
@@ -62,20 +62,20 @@ class Pipeline:
 
     @cached_property
     def corrections(self) -> DataFrame:
-        return fixtures.load_corrections(self.spark, self.sf_dir)
+        return materialize(fixtures.load_corrections(self.spark, self.sf_dir), "corrections")
 
     @cached_property
-    def movielens(self) -> DataFrame:
+    def rated_items(self) -> DataFrame:
         # fact LEFT JOIN dimension; the planner broadcasts items when its
         # (checked, estimated) size is under the threshold, else shuffles
-        return materialize(self.ratings.join(self.items, "item_id", "left"), "movielens", rebalance=True)
+        return materialize(self.ratings.join(self.items, "item_id", "left"), "rated_items", rebalance=True)
 
     @cached_property
     def _outer(self):
-        return guarded_split(self.movielens, F.col("bucket") == OUTER_TEST_BUCKET)
+        return guarded_split(self.rated_items, F.col("bucket") == OUTER_TEST_BUCKET)
 
     @property
-    def edx_raw(self) -> DataFrame:
+    def known_raw(self) -> DataFrame:
         return self._outer[0]
 
     @property
@@ -83,8 +83,8 @@ class Pipeline:
         return self._outer[1]
 
     @cached_property
-    def edx(self) -> DataFrame:
-        return materialize(add_features(correct_ids(self.edx_raw, self.corrections)), "edx", rebalance=True)
+    def known(self) -> DataFrame:
+        return materialize(add_features(correct_ids(self.known_raw, self.corrections)), "known", rebalance=True)
 
     @cached_property
     def validation(self) -> DataFrame:
@@ -92,43 +92,43 @@ class Pipeline:
 
     @cached_property
     def _inner(self):
-        return guarded_split(self.edx, F.col("bucket") == INNER_TEST_BUCKET)
+        return guarded_split(self.known, F.col("bucket") == INNER_TEST_BUCKET)
 
     @property
-    def edx_train(self) -> DataFrame:
+    def fit_rows(self) -> DataFrame:
         return self._inner[0]
 
     @property
-    def edx_test(self) -> DataFrame:
+    def tune_rows(self) -> DataFrame:
         return self._inner[1]
 
     @cached_property
-    def movie_titles_all(self) -> DataFrame:
-        """Distinct (item_id, title) of edx before the id correction."""
-        return self.edx_raw.select("item_id", "title").distinct()
+    def title_pairs(self) -> DataFrame:
+        """Distinct (item_id, title) of known before the id correction."""
+        return self.known_raw.select("item_id", "title").distinct()
 
     @cached_property
-    def movie_titles(self) -> DataFrame:
-        """movie_titles without the wrong id."""
-        return drop_ids(self.movie_titles_all, self.corrections)
+    def item_titles(self) -> DataFrame:
+        """item_titles without the wrong id."""
+        return drop_ids(self.title_pairs, self.corrections)
 
     def plain_model(self):
-        """Plain 5-effect fit on edx_train, shared by every query of the session.
+        """Plain 5-effect fit on fit_rows, shared by every query of the session.
 
         Effects are fitted in sequence, so its first k effects are exactly the
         k-effect model (naive, movie, +user, +year, +date, +genre).
         """
         if "plain" not in self.models:
             from ratecraft.operators.effects import fit_effects, standard_effects
-            self.models["plain"] = fit_effects(self.edx_train, standard_effects(), None)
+            self.models["plain"] = fit_effects(self.fit_rows, standard_effects(), None)
         return self.models["plain"]
 
     def reg_model(self, lam: float):
-        """Regularized 5-effect fit on edx_train at ``lam``, shared within the session."""
+        """Regularized 5-effect fit on fit_rows at ``lam``, shared within the session."""
         key = ("reg", lam)
         if key not in self.models:
             from ratecraft.operators.effects import fit_effects, standard_effects
-            self.models[key] = fit_effects(self.edx_train, standard_effects(), lam)
+            self.models[key] = fit_effects(self.fit_rows, standard_effects(), lam)
         return self.models[key]
 
     @property

@@ -37,22 +37,22 @@ def P(spark, sf):
     return Pipeline.of(spark, sf)
 
 
-@query("hist_ratings", W(hist_sql("edx", "rating", 10), ["edx"]))
+@query("hist_ratings", W(hist_sql("known", "rating", 10), ["known"]))
 def hist_ratings(spark, sf):
     """Ratings in 10 bins."""
-    return _hist_out(histogram(P(spark, sf).edx, "rating", 10))
+    return _hist_out(histogram(P(spark, sf).known, "rating", 10))
 
 
 def _per_key_hist(name, key, value_sql, bins, log10=False):
-    src = f"(SELECT {key}, {value_sql} AS v FROM edx GROUP BY {key})"
+    src = f"(SELECT {key}, {value_sql} AS v FROM known GROUP BY {key})"
     x = "log10(v)" if log10 else "v"
 
     def fn(spark, sf):
-        e = P(spark, sf).edx
+        e = P(spark, sf).known
         per = (e.groupBy(key).agg(F.count(F.lit(1)).alias("v")) if log10
                else e.groupBy(key).agg(F.avg("rating").alias("v")))
         return _hist_out(histogram(per, "v", bins, log10=log10))
-    query(name, W(hist_sql(src, x, bins), ["edx"]))(fn)
+    query(name, W(hist_sql(src, x, bins), ["known"]))(fn)
 
 
 _per_key_hist("hist_item_means", "item_id", "avg(rating)", 30)
@@ -66,14 +66,14 @@ EFFECT_BINS = {"b_i": 10, "b_u": 10, "b_y": 10, "b_t": 20, "b_g": 20}
 
 
 def _effects_hist_sql():
-    ctes = ob.effect_chain_ctes("edx_train", "edx_test", 5, None, "hp_")
+    ctes = ob.effect_chain_ctes("fit_rows", "tune_rows", 5, None, "hp_")
     parts = [hist_sql(f"hp_{n}", n, EFFECT_BINS[n], label=n) for n in EFFECT_BINS]
     return W("\nUNION ALL\n".join(parts), [], ctes)
 
 
 @query("hist_effects", _effects_hist_sql())
 def hist_effects(spark, sf):
-    """Histograms of the five plain effects fitted on edx_train."""
+    """Histograms of the five plain effects fitted on fit_rows."""
     m = P(spark, sf).plain_model()
     out = None
     for i, e in enumerate(m.effects):
@@ -86,13 +86,13 @@ def hist_effects(spark, sf):
 TREND_K = 2
 
 
-@query("trend_month", W(f"""SELECT x.rating_date, round(x.a, 6) AS avg_rating_date, round(avg(y.a), 6) AS trend
+@query("trend_month", W(f"""SELECT x.rating_date, round(x.a, 6) AS period_mean, round(avg(y.a), 6) AS trend
 FROM ix x JOIN ix y ON abs(x.idx - y.idx) <= {TREND_K} GROUP BY x.rating_date, x.a""", [],
     [("ix", """SELECT rating_date, avg(rating) AS a, year(rating_date) * 12 + month(rating_date) AS idx
-FROM edx GROUP BY rating_date""", ["edx"])]))
+FROM known GROUP BY rating_date""", ["known"])]))
 def trend_month(spark, sf):
     """Monthly mean rating with a centred 5-month moving average."""
-    m = pr.mean_by(P(spark, sf).edx, "rating_date", name="avg_rating_date")
+    m = pr.mean_by(P(spark, sf).known, "rating_date", name="period_mean")
     m = m.withColumn("idx", F.year("rating_date") * 12 + F.month("rating_date"))
-    t = period_trend(m, "idx", "avg_rating_date", TREND_K)
-    return t.select("rating_date", _r6("avg_rating_date").alias("avg_rating_date"), _r6("trend").alias("trend"))
+    t = period_trend(m, "idx", "period_mean", TREND_K)
+    return t.select("rating_date", _r6("period_mean").alias("period_mean"), _r6("trend").alias("trend"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ratecraft.plans import oracle_base as ob
 from ratecraft.plans.pipeline import Pipeline
 from ratecraft.plans.registry import query
@@ -27,9 +29,22 @@ def read_movies_q(spark, sf):
     return io.read_movies(spark, path)
 
 
-@query("triples_roundtrip", W("SELECT item_id, user_id, rating FROM edx_train", ["edx_train"]))
+@query("triples_roundtrip", W("SELECT item_id, user_id, rating FROM fit_rows", ["fit_rows"]))
 def triples_roundtrip(spark, sf):
-    """edx_train as space separated (item, user, rating) triples, read back."""
+    """The training rows as space separated (item, user, rating) triples, read back."""
+    return _triples(spark, Pipeline.of(spark, sf).fit_rows)
+
+
+def _triples(spark, rows):
     path = scratch_path(spark, "triples")
-    io.write_triples(Pipeline.of(spark, sf).edx_train, path)
+    io.write_triples(rows, path)
     return io.read_triples(spark, path)
+
+
+@query("triples_test_sets", W("SELECT 'tune_rows' AS dataset, item_id, user_id, rating FROM tune_rows UNION ALL "
+                              "SELECT 'validation', item_id, user_id, rating FROM validation", ["tune_rows", "validation"]))
+def triples_test_sets(spark, sf):
+    """The triples of the test and the validation rows, written and read back."""
+    p = Pipeline.of(spark, sf)
+    parts = [_triples(spark, df).select(F.lit(n).alias("dataset"), "*") for n, df in (("tune_rows", p.tune_rows), ("validation", p.validation))]
+    return parts[0].unionByName(parts[1])

@@ -13,6 +13,7 @@ from ratecraft.operators.prepare import correct_ids
 from ratecraft.plans import oracle_base as ob
 from ratecraft.plans.pipeline import Pipeline
 from ratecraft.plans.registry import query
+from ratecraft.sources.fixtures import load_events
 
 W = ob.with_ctes
 
@@ -26,72 +27,94 @@ def P(spark, sf, **kw):
 
 
 # --- sources and joins -----------------------------------------------------
-@query("ratings_enriched", W("SELECT * FROM movielens", ["movielens"]))
+@query("ratings_enriched", W("SELECT * FROM rated_items", ["rated_items"]))
 def ratings_enriched(spark, sf):
     """Ratings left-joined to items (fact to dimension)."""
-    return P(spark, sf).movielens
+    return P(spark, sf).rated_items
 
 
-@query("movie_titles", W("SELECT item_id, title FROM movie_titles", ["movie_titles"]))
-def movie_titles(spark, sf):
+@query("movie_titles", W("SELECT item_id, title FROM item_titles", ["item_titles"]))
+def item_titles(spark, sf):
     """Distinct (item, title) pairs without the wrongly assigned id."""
-    return P(spark, sf).movie_titles
+    return P(spark, sf).item_titles
 
 
-@query("duplicate_titles", W("""SELECT a.item_id, a.title FROM movie_titles_all a
-JOIN (SELECT title, min(item_id) AS first_id FROM movie_titles_all GROUP BY title) f ON a.title = f.title
-WHERE a.item_id > f.first_id""", ["movie_titles_all"]))
+@query("duplicate_titles", W("""SELECT a.item_id, a.title FROM title_pairs a
+JOIN (SELECT title, min(item_id) AS first_id FROM title_pairs GROUP BY title) f ON a.title IS NOT DISTINCT FROM f.title
+WHERE a.item_id > f.first_id""", ["title_pairs"]))
 def duplicate_titles(spark, sf):
     """Titles that already occurred under a smaller item id."""
-    return pr.duplicated_rows(P(spark, sf).movie_titles_all, "title", "item_id").select("item_id", "title")
+    return pr.duplicated_rows(P(spark, sf).title_pairs, "title", "item_id").select("item_id", "title")
 
 
-@query("title_lookup", W("""SELECT item_id, title, genres, count(*) AS count FROM edx_raw
-WHERE title IN (SELECT title FROM movie_titles_all GROUP BY title HAVING count(*) > 1)
-GROUP BY item_id, title, genres""", ["edx_raw", "movie_titles_all"]))
+@query("duplicate_title_counts", W("""SELECT a.item_id > f.first_id AS repeated, count(*) AS n FROM title_pairs a
+JOIN (SELECT title, min(item_id) AS first_id FROM title_pairs GROUP BY title) f ON a.title IS NOT DISTINCT FROM f.title
+GROUP BY 1""", ["title_pairs"]))
+def duplicate_title_counts(spark, sf):
+    """How many (item, title) pairs hold a title for the first time, and how many repeat one."""
+    return pr.duplicate_counts(P(spark, sf).title_pairs, "title", "item_id")
+
+
+_LOOKUP_SQL = """SELECT item_id, title, genres, count(*) AS count FROM {t}
+WHERE title IN (SELECT title FROM title_pairs GROUP BY title HAVING count(*) > 1)
+GROUP BY item_id, title, genres"""
+
+
+def _title_lookup(p, rows):
+    dup = p.title_pairs.groupBy("title").count().filter(F.col("count") > 1).select("title")
+    return pr.count_by(rows.join(dup, "title", "left_semi"), ["item_id", "title", "genres"])
+
+
+@query("title_lookup", W(_LOOKUP_SQL.format(t="known_raw"), ["known_raw", "title_pairs"]))
 def title_lookup(spark, sf):
     """Rating counts per (item, title, genres) for every title held by several ids."""
     p = P(spark, sf)
-    dup = p.movie_titles_all.groupBy("title").count().filter(F.col("count") > 1).select("title")
-    rows = p.edx_raw.join(dup, "title", "left_semi")
-    return pr.count_by(rows, ["item_id", "title", "genres"])
+    return _title_lookup(p, p.known_raw)
+
+
+@query("title_lookup_validation", W(_LOOKUP_SQL.format(t="validation_raw"), ["validation_raw", "title_pairs"]))
+def title_lookup_validation(spark, sf):
+    """The same lookup among the validation rows."""
+    p = P(spark, sf)
+    return _title_lookup(p, p.validation_raw)
 
 
-@query("id_correction", W("SELECT item_id, title, genres, count(*) AS count FROM edx_corr GROUP BY item_id, title, genres",
-                          ["edx_corr"]))
+@query("id_correction", W("SELECT item_id, title, genres, count(*) AS count FROM known_corr GROUP BY item_id, title, genres",
+                          ["known_corr"]))
 def id_correction(spark, sf):
-    """edx after remapping id 7 to 3 (genres taken from item 3), counted per item/title/genres."""
+    """known after remapping id 7 to 3 (genres taken from item 3), counted per item/title/genres."""
     p = P(spark, sf)
-    fixed = correct_ids(p.edx_raw, p.corrections)
+    fixed = correct_ids(p.known_raw, p.corrections)
     return pr.count_by(fixed, ["item_id", "title", "genres"])
 
 
 # --- counts and means ---------------------------------------------------------
-@query("rating_distribution", W("SELECT rating, count(*) AS count FROM edx GROUP BY rating", ["edx"]))
+@query("rating_distribution", W("SELECT rating, count(*) AS count FROM known GROUP BY rating", ["known"]))
 def rating_distribution(spark, sf):
-    return pr.count_by(P(spark, sf).edx, "rating")
+    return pr.count_by(P(spark, sf).known, "rating")
 
 
-@query("ratings_per_item", W("SELECT item_id, count(*) AS n FROM edx GROUP BY item_id", ["edx"]))
+@query("ratings_per_item", W("SELECT item_id, count(*) AS n FROM known GROUP BY item_id", ["known"]))
 def ratings_per_item(spark, sf):
-    return pr.count_by(P(spark, sf).edx, "item_id", "n")
+    return pr.count_by(P(spark, sf).known, "item_id", "n")
 
 
-@query("ratings_per_user", W("SELECT user_id, count(*) AS n FROM edx GROUP BY user_id", ["edx"]))
+@query("ratings_per_user", W("SELECT user_id, count(*) AS n FROM known GROUP BY user_id", ["known"]))
 def ratings_per_user(spark, sf):
-    return pr.count_by(P(spark, sf).edx, "user_id", "n")
+    return pr.count_by(P(spark, sf).known, "user_id", "n")
 
 
 def _rated(desc: bool):
     order = "count DESC" if desc else "count ASC"
-    return W(f"SELECT item_id, title, count(*) AS count FROM edx GROUP BY item_id, title "
-             f"ORDER BY {order}, item_id, title LIMIT 10", ["edx"])
+    # the full listing in order; a report takes its first rows
+    return W(f"SELECT item_id, title, count(*) AS count FROM known GROUP BY item_id, title "
+             f"ORDER BY {order}, item_id, title", ["known"])
 
 
 def _rated_q(spark, sf, desc):
-    c = pr.count_by(P(spark, sf).edx, ["item_id", "title"])
+    c = pr.count_by(P(spark, sf).known, ["item_id", "title"])
     first = F.col("count").desc() if desc else F.col("count").asc()
-    return pr.top_n(c, [first, F.col("item_id"), F.col("title")], 10)
+    return c.orderBy(first, F.col("item_id"), F.col("title"))
 
 
 query("most_rated", _rated(True))(lambda spark, sf: _rated_q(spark, sf, True))
@@ -107,38 +130,38 @@ _ND_SQL = ("SELECT '{s}' AS stage, " + ", ".join(f"{_nd(c)} AS {o}" for o, c in
            + " FROM {t}")
 
 
-@query("distinct_counts", W(_ND_SQL.format(s="before", t="edx_raw") + "\nUNION ALL\n"
-                            + _ND_SQL.format(s="after", t="edx"), ["edx_raw", "edx"]))
+@query("distinct_counts", W(_ND_SQL.format(s="before", t="known_raw") + "\nUNION ALL\n"
+                            + _ND_SQL.format(s="after", t="known"), ["known_raw", "known"]))
 def distinct_counts(spark, sf):
     """Distinct items, titles, users and genre strings before and after the id fix."""
     p = P(spark, sf)
     cols = {"n_items": "item_id", "n_titles": "title", "n_users": "user_id", "n_genres": "genres"}
-    before = pr.distinct_counts(p.edx_raw, cols).select(F.lit("before").alias("stage"), *cols)
-    after = pr.distinct_counts(p.edx, cols).select(F.lit("after").alias("stage"), *cols)
+    before = pr.distinct_counts(p.known_raw, cols).select(F.lit("before").alias("stage"), *cols)
+    after = pr.distinct_counts(p.known, cols).select(F.lit("after").alias("stage"), *cols)
     return before.unionByName(after)
 
 
 def _mean_q(key, name, sql_key=None):
-    sql = W(f"SELECT {sql_key or key} AS {key}, round(avg(rating), 6) AS {name} FROM edx GROUP BY 1", ["edx"])
+    sql = W(f"SELECT {sql_key or key} AS {key}, round(avg(rating), 6) AS {name} FROM known GROUP BY 1", ["known"])
     return sql
 
 
 query("mean_per_item", _mean_q("item_id", "mean"))(
-    lambda spark, sf: pr.mean_by(P(spark, sf).edx, "item_id").withColumn("mean", _r6("mean")))
+    lambda spark, sf: pr.mean_by(P(spark, sf).known, "item_id").withColumn("mean", _r6("mean")))
 query("mean_per_user", _mean_q("user_id", "mean"))(
-    lambda spark, sf: pr.mean_by(P(spark, sf).edx, "user_id").withColumn("mean", _r6("mean")))
+    lambda spark, sf: pr.mean_by(P(spark, sf).known, "user_id").withColumn("mean", _r6("mean")))
 query("mean_per_genre_combo", _mean_q("genres", "mean"))(
-    lambda spark, sf: pr.mean_by(P(spark, sf).edx, "genres").withColumn("mean", _r6("mean")))
-query("mean_per_year", _mean_q("release_year", "avg_rating_year"))(
-    lambda spark, sf: pr.mean_by(P(spark, sf).edx, "release_year", name="avg_rating_year")
-    .withColumn("avg_rating_year", _r6("avg_rating_year")))
-query("mean_per_month", _mean_q("rating_date", "avg_rating_date"))(
-    lambda spark, sf: pr.mean_by(P(spark, sf).edx, "rating_date", name="avg_rating_date")
-    .withColumn("avg_rating_date", _r6("avg_rating_date")))
-query("mean_per_week", _mean_q("rating_date", "avg_rating_date", ob.round_period_sql(ob.ts_of_epoch("ts"), "week")))(
+    lambda spark, sf: pr.mean_by(P(spark, sf).known, "genres").withColumn("mean", _r6("mean")))
+query("mean_per_year", _mean_q("release_year", "year_mean"))(
+    lambda spark, sf: pr.mean_by(P(spark, sf).known, "release_year", name="year_mean")
+    .withColumn("year_mean", _r6("year_mean")))
+query("mean_per_month", _mean_q("rating_date", "period_mean"))(
+    lambda spark, sf: pr.mean_by(P(spark, sf).known, "rating_date", name="period_mean")
+    .withColumn("period_mean", _r6("period_mean")))
+query("mean_per_week", _mean_q("rating_date", "period_mean", ob.round_period_sql(ob.ts_of_epoch("ts"), "week")))(
     lambda spark, sf: pr.mean_by(
-        P(spark, sf).edx.withColumn("rating_date", round_to_period(from_epoch_seconds("ts"), "week")),
-        "rating_date", name="avg_rating_date").withColumn("avg_rating_date", _r6("avg_rating_date")))
+        P(spark, sf).known.withColumn("rating_date", round_to_period(from_epoch_seconds("ts"), "week")),
+        "rating_date", name="period_mean").withColumn("period_mean", _r6("period_mean")))
 
 
 @query("year_boxplot", W("""SELECT q.release_year, q.n, q.q1, q.median, q.q3, w.whisker_low, w.whisker_high, w.n_outliers
@@ -153,11 +176,11 @@ JOIN (SELECT p.release_year,
                             FROM per_item GROUP BY release_year) f
         ON p.release_year IS NOT DISTINCT FROM f.release_year
       GROUP BY p.release_year) w ON q.release_year IS NOT DISTINCT FROM w.release_year""", [],
-    [("per_item", "SELECT item_id, CAST(count(*) AS DOUBLE) AS v, min(release_year) AS release_year FROM edx GROUP BY item_id",
-      ["edx"])]))
+    [("per_item", "SELECT item_id, CAST(count(*) AS DOUBLE) AS v, min(release_year) AS release_year FROM known GROUP BY item_id",
+      ["known"])]))
 def year_boxplot(spark, sf):
     """Box-plot numbers of ratings-per-item, grouped by release year."""
-    per_item = P(spark, sf).edx.groupBy("item_id").agg(F.count(F.lit(1)).alias("v"),
+    per_item = P(spark, sf).known.groupBy("item_id").agg(F.count(F.lit(1)).alias("v"),
                                                       F.min("release_year").alias("release_year"))
     return box_stats(per_item, "release_year", "v").select(
         "release_year", "n", "q1", "median", "q3", "whisker_low", "whisker_high", "n_outliers")
@@ -165,36 +188,43 @@ def year_boxplot(spark, sf):
 
 _GP_SQL = """SELECT genre, CAST(sum(n) AS BIGINT) AS count_ratings, round(avg(m), 6) AS mean_rating
 FROM (SELECT unnest(string_split(genres, '|')) AS genre, m, n
-      FROM (SELECT genres, avg(rating) AS m, count(*) AS n FROM edx GROUP BY genres))
+      FROM (SELECT genres, avg(rating) AS m, count(*) AS n FROM known GROUP BY genres))
 GROUP BY genre"""
 
 
-@query("genre_profile", W(_GP_SQL, ["edx"]))
+@query("genre_profile", W(_GP_SQL, ["known"]))
 def genre_profile(spark, sf):
     """Per genre: ratings count and mean of genre-string means (aggregate, then explode)."""
-    g = pr.genre_profile(P(spark, sf).edx)
+    g = pr.genre_profile(P(spark, sf).known)
     return g.select("genre", "count_ratings", _r6("mean_rating").alias("mean_rating")) \
         .orderBy(F.col("count_ratings").desc(), "genre")
 
 
 @query("genre_counts_direct", W("""SELECT genre, count(*) AS count_ratings
-FROM (SELECT unnest(string_split(genres, '|')) AS genre FROM edx) GROUP BY genre""", ["edx"]))
+FROM (SELECT unnest(string_split(genres, '|')) AS genre FROM known) GROUP BY genre""", ["known"]))
 def genre_counts_direct(spark, sf):
     """Ratings per genre by exploding every rating; equals genre_profile's counts."""
-    return pr.genre_counts_direct(P(spark, sf).edx)
+    return pr.genre_counts_direct(P(spark, sf).known)
 
 
-def _summary_sql(c):
-    x = f"CAST({c} AS DOUBLE)"
-    return (f"SELECT '{c}' AS \"column\", min({x}) AS min, quantile_cont({x}, 0.25) AS q1, "
+def _summary_sql(c, t):
+    x = f"CAST({c} - DATE '1970-01-01' AS DOUBLE)" if c == "rating_date" else f"CAST({c} AS DOUBLE)"
+    return (f"SELECT '{t}' AS dataset, '{c}' AS \"column\", min({x}) AS min, quantile_cont({x}, 0.25) AS q1, "
             f"quantile_cont({x}, 0.5) AS median, round(avg({x}), 6) AS mean, quantile_cont({x}, 0.75) AS q3, "
-            f"max({x}) AS max, count(*) - count({c}) AS n_na FROM edx")
+            f"max({x}) AS max, count(*) - count({c}) AS n_na FROM {t}")
 
 
-@query("column_summary", W(_summary_sql("rating") + "\nUNION ALL\n" + _summary_sql("release_year"), ["edx"]))
+_SUMMARY_COLS = ["user_id", "item_id", "rating", "ts", "release_year", "rating_date"]
+
+
+@query("column_summary", W("\nUNION ALL\n".join(_summary_sql(c, t) for t in ("known", "validation") for c in _SUMMARY_COLS),
+                           ["known", "validation"]))
 def column_summary(spark, sf):
-    """summary() of the rating and release-year columns."""
-    return pr.column_summary(P(spark, sf).edx, ["rating", "release_year"]).withColumn("mean", _r6("mean"))
+    """Quartiles, mean, range and nulls of every numeric and date column of both sets (dates in days)."""
+    p = P(spark, sf)
+    parts = [pr.column_summary(df, _SUMMARY_COLS, exact=True).select(F.lit(n).alias("dataset"), "*")
+             for n, df in (("known", p.known), ("validation", p.validation))]
+    return parts[0].unionByName(parts[1]).withColumn("mean", _r6("mean"))
 
 
 @query("pattern_coverage", W(r"""SELECT count(*) AS n_rows,
@@ -206,6 +236,25 @@ def pattern_coverage(spark, sf):
     return pr.pattern_coverage(p.ratings.join(p.items, "item_id", "left"), "title", YEAR_PATTERN)
 
 
+@query("pattern_coverage_sets", W("\nUNION ALL\n".join(rf"""SELECT '{t}' AS dataset, count(*) AS n_rows,
+  CAST(count_if(regexp_matches(title, '\(\d{{4}}\)$')) AS BIGINT) AS n_match FROM {t}""" for t in ("known", "validation")),
+                                  ["known", "validation"]))
+def pattern_coverage_sets(spark, sf):
+    """The same count for the known and the validation rows."""
+    p = P(spark, sf)
+    parts = [pr.pattern_coverage(df, "title", YEAR_PATTERN).select(F.lit(n).alias("dataset"), "*")
+             for n, df in (("known", p.known), ("validation", p.validation))]
+    return parts[0].unionByName(parts[1])
+
+
+@query("event_rounding", W(f"""SELECT event_id, {ob.round_period_sql('ts', 'week')} AS week, {ob.round_period_sql('ts', 'month')} AS month
+FROM events""", []).removeprefix("WITH "))
+def event_rounding(spark, sf):
+    """Times with fractions of a second rounded to the nearest week and month."""
+    ts = F.col("ts").cast("timestamp")
+    return load_events(spark, sf).select("event_id", round_to_period(ts, "week").alias("week"), round_to_period(ts, "month").alias("month"))
+
+
 @query("release_year", W(f"SELECT item_id, title, {ob.release_year_sql('title')} AS release_year FROM items_dirty",
                          ["items_dirty"]))
 def release_year_q(spark, sf):
@@ -214,26 +263,26 @@ def release_year_q(spark, sf):
     return items.select("item_id", "title", release_year("title").alias("release_year"))
 
 
-@query("main_genre", W("SELECT split_part(genres, '|', 1) AS main_genre, count(*) AS n FROM edx GROUP BY 1", ["edx"]))
+@query("main_genre", W("SELECT split_part(genres, '|', 1) AS main_genre, count(*) AS n FROM known GROUP BY 1", ["known"]))
 def main_genre(spark, sf):
     """Ratings per first listed genre."""
-    return pr.count_by(P(spark, sf).edx.withColumn("main_genre", first_genre("genres")), "main_genre", "n")
+    return pr.count_by(P(spark, sf).known.withColumn("main_genre", first_genre("genres")), "main_genre", "n")
 
 
-@query("rating_datetime", W(f"SELECT user_id, item_id, ts, {ob.ts_of_epoch('ts')} AS rating_datetime FROM edx", ["edx"]))
+@query("rating_datetime", W(f"SELECT user_id, item_id, ts, {ob.ts_of_epoch('ts')} AS rating_datetime FROM known", ["known"]))
 def rating_datetime(spark, sf):
     """Epoch seconds as a UTC date-time."""
-    return P(spark, sf).edx.select("user_id", "item_id", "ts", from_epoch_seconds("ts").alias("rating_datetime"))
+    return P(spark, sf).known.select("user_id", "item_id", "ts", from_epoch_seconds("ts").alias("rating_datetime"))
 
 
 # --- first rows by a column -----------------------------------------------------
 def _head(col, desc, cols):
     o = "DESC" if desc else "ASC"
-    sql = W(f"SELECT {', '.join(cols)} FROM edx ORDER BY {col} {o} NULLS LAST, ts, item_id, user_id LIMIT 6", ["edx"])
+    sql = W(f"SELECT {', '.join(cols)} FROM known ORDER BY {col} {o} NULLS LAST, ts, item_id, user_id LIMIT 6", ["known"])
 
     def fn(spark, sf):
         c = F.col(col).desc_nulls_last() if desc else F.col(col).asc_nulls_last()
-        return pr.top_n(P(spark, sf).edx, [c, F.col("ts"), F.col("item_id"), F.col("user_id")], 6).select(*cols)
+        return pr.top_n(P(spark, sf).known, [c, F.col("ts"), F.col("item_id"), F.col("user_id")], 6).select(*cols)
     return sql, fn
 
 
@@ -249,24 +298,24 @@ for _n, _c, _d, _cols in [("earliest_releases", "release_year", False, _REL),
 
 # --- movie-effect reports -----------------------------------------------------
 _MOVIE_CTES = [
-    ("me_mu", "SELECT avg(rating) AS mu FROM edx_train", ["edx_train"]),
-    ("me_bi", "SELECT item_id, avg(rating - mu) AS b_i, count(*) AS n FROM edx_train, me_mu GROUP BY item_id",
-     ["edx_train", "me_mu"]),
+    ("me_mu", "SELECT avg(rating) AS mu FROM fit_rows", ["fit_rows"]),
+    ("me_bi", "SELECT item_id, avg(rating - mu) AS b_i, count(*) AS n FROM fit_rows, me_mu GROUP BY item_id",
+     ["fit_rows", "me_mu"]),
 ]
 
 
 def _items_sql(desc):
     o = "DESC" if desc else "ASC"
     return W(f"""SELECT b.item_id, t.title, round(b.b_i, 6) AS b_i, b.n FROM me_bi b
-LEFT JOIN movie_titles t ON b.item_id = t.item_id ORDER BY round(b.b_i, 9) {o}, b.item_id LIMIT 20""", ["movie_titles"], _MOVIE_CTES)
+LEFT JOIN item_titles t ON b.item_id = t.item_id ORDER BY round(b.b_i, 9) {o}, b.item_id LIMIT 20""", ["item_titles"], _MOVIE_CTES)
 
 
 def movie_report(spark, sf, desc):
     p = P(spark, sf)
     m = p.plain_model()
-    counts = pr.count_by(p.edx_train, "item_id", "n")
+    counts = pr.count_by(p.fit_rows, "item_id", "n")
     rep = natural_left_join(counts, m.effect_table(0))
-    rep = rep.join(p.movie_titles, "item_id", "left")
+    rep = rep.join(p.item_titles, "item_id", "left")
     key = F.round("b_i", 9)   # computed floats: order on 9 decimals, then the id
     first = key.desc() if desc else key.asc()
     return pr.top_n(rep, [first, F.col("item_id")], 20).select("item_id", "title", _r6("b_i").alias("b_i"), "n")
@@ -278,12 +327,12 @@ query("worst_items", _items_sql(False))(lambda spark, sf: movie_report(spark, sf
 
 @query("largest_residuals", W("""SELECT user_id, item_id, title, round(residual, 6) AS residual FROM (
   SELECT t.user_id, t.item_id, t.title, t.ts, t.rating - (m.mu + b.b_i) AS residual
-  FROM edx_test t CROSS JOIN me_mu m LEFT JOIN me_bi b ON t.item_id = b.item_id)
-ORDER BY round(abs(residual), 9) DESC, item_id, user_id, ts LIMIT 20""", ["edx_test"], _MOVIE_CTES))
+  FROM tune_rows t CROSS JOIN me_mu m LEFT JOIN me_bi b ON t.item_id = b.item_id)
+ORDER BY round(abs(residual), 9) DESC, item_id, user_id, ts LIMIT 20""", ["tune_rows"], _MOVIE_CTES))
 def largest_residuals(spark, sf):
     """The 20 test rows the movie-effect model misses most."""
     p = P(spark, sf)
-    pred = p.plain_model().predict(p.edx_test, upto=1).withColumn("residual", F.col("rating") - F.col("pred"))
+    pred = p.plain_model().predict(p.tune_rows, upto=1).withColumn("residual", F.col("rating") - F.col("pred"))
     return pr.top_n(pred, [F.round(F.abs("residual"), 9).desc(), F.col("item_id"), F.col("user_id"),
                            F.col("ts")], 20) \
         .select("user_id", "item_id", "title", _r6("residual").alias("residual"))
@@ -291,8 +340,8 @@ def largest_residuals(spark, sf):
 
 @query("dataset_sizes", W(" UNION ALL ".join(
     f"SELECT '{d}' AS dataset, count(*) AS n_rows, CAST(9 AS BIGINT) AS n_cols, format('{{:,}}', count(*)) AS n_rows_fmt FROM {d}"
-    for d in ["edx", "validation", "edx_train", "edx_test"]), ["edx", "validation", "edx_train", "edx_test"]))
+    for d in ["known", "validation", "fit_rows", "tune_rows"]), ["known", "validation", "fit_rows", "tune_rows"]))
 def dataset_sizes(spark, sf):
     p = P(spark, sf)
-    return pr.dataset_sizes({"edx": p.edx, "validation": p.validation, "edx_train": p.edx_train,
-                             "edx_test": p.edx_test})
+    return pr.dataset_sizes({"known": p.known, "validation": p.validation, "fit_rows": p.fit_rows,
+                             "tune_rows": p.tune_rows})

@@ -21,8 +21,8 @@ def _tab(m, i):
 
 
 def test_lambda_zero_equals_plain_except_genre(pipe):
-    plain = fit_effects(pipe.edx_train, standard_effects(), None)
-    zero = fit_effects(pipe.edx_train, standard_effects(), 0.0)
+    plain = fit_effects(pipe.fit_rows, standard_effects(), None)
+    zero = fit_effects(pipe.fit_rows, standard_effects(), 0.0)
     for i in range(4):
         a, b = _tab(plain, i), _tab(zero, i)
         assert a.keys() == b.keys()
@@ -34,7 +34,7 @@ def test_lambda_zero_equals_plain_except_genre(pipe):
 def test_item_effect_shrinks(pipe):
     prev = None
     for lam in [0.0, 1.0, 5.0, 25.0]:
-        t = _tab(fit_effects(pipe.edx_train, standard_effects(upto=1), lam), 0)
+        t = _tab(fit_effects(pipe.fit_rows, standard_effects(upto=1), lam), 0)
         if prev is not None:
             assert all(abs(t[k]) <= abs(prev[k]) + 1e-12 for k in t)
         prev = t
@@ -42,18 +42,18 @@ def test_item_effect_shrinks(pipe):
 
 def test_grid_equals_single_fits(pipe):
     lams = [0.0, 2.5, 7.0]
-    grid = fit_effects(pipe.edx_train, standard_effects(), lams).rmse(pipe.edx_test)
+    grid = fit_effects(pipe.fit_rows, standard_effects(), lams).rmse(pipe.tune_rows)
     got = {r["lambda"]: r.rmse for r in grid.collect()}
     for lam in lams:
-        one = fit_effects(pipe.edx_train, standard_effects(), lam).rmse(pipe.edx_test).first().rmse
+        one = fit_effects(pipe.fit_rows, standard_effects(), lam).rmse(pipe.tune_rows).first().rmse
         assert math.isclose(got[lam], one, rel_tol=1e-12)
 
 
 def test_chunked_grid_covers_all_lambdas(pipe):
     lams = [i * 0.5 for i in range(20)]     # more than one chunk
-    g = fit_effects(pipe.edx_train, standard_effects(upto=2), lams).rmse(pipe.edx_test).collect()
+    g = fit_effects(pipe.fit_rows, standard_effects(upto=2), lams).rmse(pipe.tune_rows).collect()
     assert sorted(r["lambda"] for r in g) == lams
-    one = fit_effects(pipe.edx_train, standard_effects(upto=2), lams[-1]).rmse(pipe.edx_test).first().rmse
+    one = fit_effects(pipe.fit_rows, standard_effects(upto=2), lams[-1]).rmse(pipe.tune_rows).first().rmse
     assert math.isclose({r["lambda"]: r.rmse for r in g}[lams[-1]], one, rel_tol=1e-12)
 
 
@@ -86,7 +86,7 @@ def test_folds_as_key_equal_per_fold_loop(spark):
     """All folds in one fit (fold key h) equal k separate guarded splits and fits."""
     from ratecraft.operators.split import expand_folds, guarded_split
     p = Pipeline.of(spark, SF)
-    data = p.edx_train
+    data = p.fit_rows
     k, lams = 3, [0.0, 5.0]
     fold = F.col("bucket") % k
     train, test = expand_folds(data, fold, k)

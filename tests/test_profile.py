@@ -11,15 +11,15 @@ from conftest import SF
 
 
 def test_genre_profile_matches_direct_explode(spark):
-    edx = Pipeline.of(spark, SF).edx
-    a = {r.genre: r.count_ratings for r in pr.genre_profile(edx).collect()}
-    b = {r.genre: r.count_ratings for r in pr.genre_counts_direct(edx).collect()}
+    known = Pipeline.of(spark, SF).known
+    a = {r.genre: r.count_ratings for r in pr.genre_profile(known).collect()}
+    b = {r.genre: r.count_ratings for r in pr.genre_counts_direct(known).collect()}
     assert a == b
     # means are unweighted means of genre-string means
-    per = {r.genres: r.mean for r in pr.mean_by(edx, "genres").collect()}
+    per = {r.genres: r.mean for r in pr.mean_by(known, "genres").collect()}
     g0 = next(iter(a))
     means = [m for s, m in per.items() if g0 in s.split("|")]
-    got = {r.genre: r.mean_rating for r in pr.genre_profile(edx).collect()}[g0]
+    got = {r.genre: r.mean_rating for r in pr.genre_profile(known).collect()}[g0]
     assert math.isclose(got, sum(means) / len(means), rel_tol=1e-12)
 
 
