@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratecraft.llm.common import ship, table
+from ratecraft.llm.common import ship, table, text_parts
 from ratecraft.llm.op08_mix import unit_hash
 from ratecraft.llm.op10_toxicity import platt, sigmoid
 from ratecraft.llm.wordgrams import LEFT, code_points, rolling, slices
@@ -280,14 +280,13 @@ def _predict_batches(shared):
         if rows is None:
             rows = state["rows"] = np.zeros((1 << 14, width), np.float32)
         for batch in batches:
-            texts = [(t or "").split() for t in batch.column("text").to_pylist()]
             out = {c: [] for c in _NEW}
-            for lo in range(0, len(texts), 256):
-                part = texts[lo:lo + 256]
-                new = {w for tokens in part for w in tokens if w not in cache}
+            for part in text_parts(batch, max_bytes=1 << 20):
+                texts = [(t or "").split() for t in part.column("text").to_pylist()]
+                new = {w for tokens in texts for w in tokens if w not in cache}
                 if len(cache) + len(new) > CACHE_TOKENS:
                     cache.clear()
-                    new = {w for tokens in part for w in tokens}
+                    new = {w for tokens in texts for w in tokens}
                 if new:
                     new = list(new)
                     split = [words_of(t) for t in new]
@@ -302,7 +301,7 @@ def _predict_batches(shared):
                         rows = state["rows"] = np.concatenate([rows, np.zeros_like(rows)])
                     rows[at:at + len(new)] = value
                     cache.update(zip(new, range(at, at + len(new))))
-                for tokens in part:
+                for tokens in texts:
                     total = rows[np.fromiter(map(cache.__getitem__, tokens), np.int64, len(tokens))].sum(0, dtype=np.float64)
                     for c, v in zip(_NEW, judge(model, total)):
                         out[c].append(v)

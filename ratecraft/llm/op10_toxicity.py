@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratecraft.llm.common import ship, table
+from ratecraft.llm.common import ship, table, text_parts
 from ratecraft.llm.wordgrams import code_points, rolling, slices
 
 ORDERS = (3, 4, 5)
@@ -53,7 +53,7 @@ DECAY = 0.02
 HARD = 4.0                  # extra weight of a clean passage that the model gets wrong
 ALONE = 0.5                 # weight of the clean words as passages of their own
 CALIBRATE = 0.2             # share of the training rows that fits the score
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 LONG_WORD = 100_000         # letters of a word that are looked at together
 HOLD_OUT = 5
 _CLEAN = re.compile(r"[\W\d_]+")
@@ -260,18 +260,17 @@ def _score_batches(shared):
         model: Model = shared.value
         cache: dict[str, float] = state.setdefault("cache", {})
         for batch in batches:
-            texts = [(t or "").split() for t in batch.column("text").to_pylist()]
             scores = []
-            for lo in range(0, len(texts), 256):
-                part = texts[lo:lo + 256]
-                new = {w for words in part for w in words if w not in cache}
+            for part in text_parts(batch, max_bytes=1 << 20):
+                texts = [(t or "").split() for t in part.column("text").to_pylist()]
+                new = {w for words in texts for w in words if w not in cache}
                 if new:
                     if len(cache) + len(new) > CACHE_WORDS:
                         cache.clear()
-                        new = {w for words in part for w in words}
+                        new = {w for words in texts for w in words}
                     new = list(new)
                     cache.update(zip(new, model.word_logits([letters_of(w) for w in new]).tolist()))
-                for words in part:
+                for words in texts:
                     logits = np.fromiter(map(cache.__getitem__, words), np.float64, len(words))
                     scores.append(model.score(model.text_logit(logits)))
             yield pa.record_batch([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])

@@ -19,7 +19,7 @@ from array import array
 import numpy as np
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
-CACHE_PIECES = 700_000          # entries of a worker's cache before it is emptied
+CACHE_PIECES = 400_000          # entries of a worker's cache before it is emptied
 CACHE_BYTES = 96                # pieces longer than this are not kept
 _MARKS = ".,;:!?"
 _REGULAR = re.compile(r"(?<=\S) (?=\S)")
