@@ -1,9 +1,12 @@
 """Additive bias-effect rating models: rating ~ mu + b_item + b_user + ...
 
-Effects are fitted one after another on what the earlier ones leave
-(residual carry): after an effect is fitted it is joined once to the
-training rows and subtracted, so k effects need k-1 joins instead of the
-1+2+...+(k-1) joins of refitting from scratch.
+Effects are fitted one after another on what the earlier ones leave. The
+rows joined to the first effect's sums are written once; each later effect
+joins the effects before it to that table and aggregates the residuals (the
+item join is so paid once, the user join once per later effect).
+
+A null rating makes its mean and its effects null (``drop_null=True`` fits
+without such rows).
 
 Shrinkage constants are *columns*: one fit computes an effect for every
 lambda of a grid in the same aggregate (``sum(resid_j) / (n + lambda_j)``),
@@ -34,14 +37,11 @@ class Effect:
     analysis being reproduced (it divides by n twice). Without a lambda
     both are the plain mean.
     null_safe: the key may be null and null forms its own group.
-    bounded: the number of key values has a fixed upper bound (calendar
-    years or months), so the fitted table is broadcast.
     """
     name: str
     key: str
     stat: str = "sum"
     null_safe: bool = False
-    bounded: bool = False
 
 
 def standard_effects(item="item_id", user="user_id", year="release_year",
@@ -51,15 +51,16 @@ def standard_effects(item="item_id", user="user_id", year="release_year",
     effs = [
         Effect("b_i", item),
         Effect("b_u", user),
-        Effect("b_y", year, null_safe=True, bounded=True),
-        Effect("b_t", date, null_safe=True, bounded=True),
+        Effect("b_y", year, null_safe=True),
+        Effect("b_t", date, null_safe=True),
         Effect("b_g", genres, stat=genre_stat, null_safe=True),
     ]
     return effs[:upto]
 
 
-def _bcast_if(df: DataFrame, flag: bool) -> DataFrame:
-    return F.broadcast(df) if flag else df
+def _strict_sum(x: Column) -> Column:
+    """Sum that is null as soon as one term is null."""
+    return F.when(F.count(x) == F.count(F.lit(1)), F.sum(x))
 
 
 class EffectModel:
@@ -123,7 +124,7 @@ class EffectModel:
             e, tab = self.effects[idx], self.tables[idx]
             if idx == 0:
                 tab = tab.withColumnsRenamed({"__S": "__S0", "__n": "__n0"})
-            out = keyed_join(out, _bcast_if(tab, e.bounded), [*self.by, e.key], "left",
+            out = keyed_join(out, tab, [*self.by, e.key], "left",
                              null_safe=[e.key] if e.null_safe else [])
         return out
 
@@ -181,7 +182,8 @@ LAMBDA_CHUNK = 14
 
 
 def fit_effects(train: DataFrame, effects: Sequence[Effect], lambdas=None,
-                rating: str = "rating", by: Sequence[str] = (), persist: bool = True):
+                rating: str = "rating", by: Sequence[str] = (), persist: bool = True,
+                drop_null: bool = False):
     """Fit mu and the effects in order, for one or many shrinkage constants.
 
     lambdas: None (plain means), a float, a list of floats (one slot each),
@@ -208,14 +210,16 @@ def fit_effects(train: DataFrame, effects: Sequence[Effect], lambdas=None,
     else:
         slots = [float(x) for x in lambdas]
 
+    if drop_null:
+        train = train.filter(F.col(rating).isNotNull())
     rows = train.select(*by, rating, *dict.fromkeys(e.key for e in effects))
-    mu = keep(rows.groupBy(*by).agg(F.avg(rating).alias("mu")), "mu")
+    mu = keep(rows.groupBy(*by).agg((_strict_sum(F.col(rating)) / F.count(F.lit(1))).alias("mu")), "mu")
     first_tables, base = [], None
     if effects:
         e0 = effects[0]
         r0 = F.col(rating) - F.col("mu")
         rows_mu = rows.join(F.broadcast(mu), list(by), "inner") if by else rows.crossJoin(F.broadcast(mu))
-        stats = rows_mu.groupBy(*by, e0.key).agg(F.sum(r0).alias("__S"), F.count(F.lit(1)).alias("__n"))
+        stats = rows_mu.groupBy(*by, e0.key).agg(_strict_sum(r0).alias("__S"), F.count(F.lit(1)).alias("__n"))
         first_tables = [keep(stats, e0.name)]
         if len(effects) > 1:
             shared = EffectModel(mu, effects, first_tables, slots[:1], by, rating, lambda_table)
@@ -242,14 +246,14 @@ def _fit_later(model: EffectModel, base: DataFrame | None, keep) -> None:
         t = base
         for m in range(1, idx):
             em = effects[m]
-            t = keyed_join(t, _bcast_if(model.tables[m], em.bounded), [*by, em.key], "left",
+            t = keyed_join(t, model.tables[m], [*by, em.key], "left",
                            null_safe=[em.key] if em.null_safe else [])
         aggs = [F.count(F.lit(1)).alias("__n")]
         for j in range(L):
             r = F.col(model.rating) - F.col("mu")
             for m in range(idx):
                 r = r - model.value(m, j)
-            aggs.append(F.sum(r).alias(f"__s{j}"))
+            aggs.append(_strict_sum(r).alias(f"__s{j}"))
         agg = t.groupBy(*by, e.key).agg(*aggs)
         if model.lambda_table is not None:
             agg = agg.crossJoin(F.broadcast(model.lambda_table))
@@ -267,10 +271,27 @@ def _fit_later(model: EffectModel, base: DataFrame | None, keep) -> None:
 
 
 class ChunkedEffectModel:
-    """A lambda grid fitted in chunks; ``rmse`` covers every lambda."""
+    """A lambda grid fitted in chunks, with the methods of ``EffectModel``."""
 
     def __init__(self, models: list[EffectModel]):
         self.models = models
+        self.effects, self.by, self.mu = models[0].effects, models[0].by, models[0].mu
+        self.slots = [s for m in models for s in m.slots]
+
+    def _of(self, slot: int) -> tuple[EffectModel, int]:
+        for m in self.models:
+            if slot < len(m.slots):
+                return m, slot
+            slot -= len(m.slots)
+        raise IndexError("no such lambda slot")
+
+    def effect_table(self, idx: int, slot: int = 0) -> DataFrame:
+        m, j = self._of(slot)
+        return m.effect_table(idx, j)
+
+    def predict(self, test: DataFrame, upto: int | None = None, slot: int = 0, keep_parts: bool = False) -> DataFrame:
+        m, j = self._of(slot)
+        return m.predict(test, upto, j, keep_parts)
 
     def rmse(self, test: DataFrame, upto: int | None = None) -> DataFrame:
         out, offset = None, 0
@@ -280,7 +301,3 @@ class ChunkedEffectModel:
             out = r if out is None else out.unionByName(r)
         return out
 
-
-def naive_rmse(train: DataFrame, test: DataFrame, rating: str = "rating", by: Sequence[str] = ()) -> DataFrame:
-    """RMSE of predicting the training mean for every test row."""
-    return fit_effects(train, [], None, rating, by).rmse(test)

@@ -13,15 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratecraft.operators.joins import keyed_join
 from ratecraft.session import materialize
 
 KEEP = "__keep"
-# Expanded (fold-copied) rows per task; sizes the partitions before the copy.
-ROWS_PER_TASK = 2_000_000
 
 
 def hash_bucket(cols: Sequence[str], n: int, seed: int = 0) -> Column:
@@ -34,26 +32,45 @@ def with_fold(df: DataFrame, k: int, cols: Sequence[str], seed: int = 0, name: s
     return df.withColumn(name, hash_bucket(cols, k, seed))
 
 
-def stratified_sample(df: DataFrame, strata: str, fraction: float, cols: Sequence[str],
-                      seed: int = 0, name: str = "is_test", accuracy: int = 10000) -> DataFrame:
-    """Flag about ``fraction`` of the rows of every stratum (a stratified draw).
+def stratum_rank(df: DataFrame, strata: str, draw: str, slices: int = 4096) -> DataFrame:
+    """Add ``rank`` (1..size, by ``draw``) and ``size`` of each row within its stratum.
 
-    Rows are ranked by a seeded hash of ``cols``; each stratum's cut is the
-    ``fraction`` quantile of its hashes (``percentile_approx``: a bounded
-    sketch merged map-side, so a stratum holding a third of the rows is no
-    problem). The draw is deterministic and independent of partitioning.
+    No stratum is ordered in one task: draws (evenly spread numbers of 52
+    bits) are cut into ``slices`` ranges, the ranges' counts are summed up per
+    stratum, and only the rows of one range are ranked together. Equal draws
+    are ranked by the row's other columns.
     """
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]).cast("double")
-    hashed = df.withColumn("__h", h)
-    cuts = hashed.groupBy(strata).agg(F.percentile_approx("__h", fraction, accuracy).alias("__cut"))
-    return (keyed_join(hashed, cuts, [strata], "left", null_safe=[strata])
-            .withColumn(name, F.col("__h") <= F.col("__cut")).drop("__h", "__cut"))
+    part = F.shiftright(F.col(draw), 52 - (slices.bit_length() - 1))
+    cut = df.withColumn("__part", part)
+    counts = cut.groupBy(strata, "__part").agg(F.count(F.lit(1)).alias("__n"))
+    upto = Window.partitionBy(strata).orderBy("__part")
+    counts = counts.withColumns({
+        "__before": F.sum("__n").over(upto.rowsBetween(Window.unboundedPreceding, -1)),
+        "size": F.sum("__n").over(Window.partitionBy(strata))}).drop("__n")
+    out = keyed_join(cut, counts, [strata, "__part"], "left", null_safe=[strata])
+    inside = Window.partitionBy(strata, "__part").orderBy(draw, *[c for c in df.columns if c not in (draw, strata)])
+    return (out.withColumn("rank", F.coalesce("__before", F.lit(0)) + F.row_number().over(inside))
+            .select(*df.columns, "rank", "size"))
+
+
+def stratified_sample(df: DataFrame, strata: str, fraction: float, draw: str, name: str = "is_test") -> DataFrame:
+    """Flag ``ceil(fraction * size)`` rows of every stratum, those with the smallest ``draw``."""
+    return (stratum_rank(df, strata, draw)
+            .withColumn(name, F.col("rank") <= F.ceil(F.col("size") * F.lit(float(fraction)))).drop("rank", "size"))
+
+
+def stratified_folds(df: DataFrame, strata: str, k: int, draw: str, name: str = "fold") -> DataFrame:
+    """Fold 0..k-1 of each row; the folds of a stratum differ by one row at most."""
+    return (stratum_rank(df, strata, draw)
+            .withColumn(name, F.floor((F.col("rank") - 1) * k / F.col("size")).cast("int")).drop("rank", "size"))
 
 
 def flag_fold_guard(df: DataFrame, fold: Column | str, k: int,
-                    keys: Iterable[str] = ("item_id", "user_id")) -> DataFrame:
+                    keys: Iterable[str] = ("item_id", "user_id"), among: Column | None = None) -> DataFrame:
     """Add ``__keep``: the row is a test row of its own fold and passes the guard.
 
+    With ``among`` only the rows for which it holds count as known rows.
+
     ``fold`` outside 0..k-1 (or null) means the row is never a test row.
     A key is known for fold f when it has at least one row outside fold f.
     One aggregate per key gives its total row count and its row count in
@@ -66,7 +83,7 @@ def flag_fold_guard(df: DataFrame, fold: Column | str, k: int,
     keep = F.col("__fold").isNotNull()
     for i, key in enumerate(keys):
         per = out.groupBy(key).agg(
-            F.count(F.lit(1)).alias(f"__tot{i}"),
+            (F.count(F.lit(1)) if among is None else F.count_if(among)).alias(f"__tot{i}"),
             F.array(*[F.count_if(F.col("__fold") == f) for f in range(k)]).alias(f"__nf{i}"))
         out = keyed_join(out, per, [key], "left", null_safe=[key])
         known = (F.col(f"__tot{i}") - F.element_at(F.col(f"__nf{i}"), F.col("__fold") + 1)) > 0
@@ -118,16 +135,8 @@ def expand_folds(df: DataFrame, fold: Column | str, k: int,
                 flagged.filter(F.col(KEEP)).select(F.col("__fold").alias(h), *cols))
     flagged = materialize(flagged.select(*cols, "__fold", KEEP), "folds", rebalance=True)
     test = flagged.filter(F.col(KEEP)).select(F.col("__fold").alias(h), *cols)
-    # The copy multiplies rows by k inside each task, so spread the (narrow)
-    # input first: enough partitions that each task emits ~ROWS_PER_TASK
-    # rows, and at least one per core. The count is one pass over a
-    # materialized table; only a number reaches the driver.
-    spark = df.sparkSession
-    n = flagged.count()
-    parts = max(spark.sparkContext.defaultParallelism, -(-n * k // ROWS_PER_TASK))
-    train = materialize(flagged.repartition(parts).select(F.explode(hs).alias(h), *cols), "folds-train",
-                        rebalance=False)
-    return train, test
+    # the copies are made in flight, inside the scans that use them
+    return flagged.select(F.explode(hs).alias(h), *cols), test
 
 
 def fold_sizes(df: DataFrame, fold: Column | str, k: int,
@@ -148,7 +157,5 @@ def fold_sizes(df: DataFrame, fold: Column | str, k: int,
         (F.col("n_total") - F.coalesce(F.col("n_test"), F.lit(0))).alias("n_train"),
         F.coalesce(F.col("n_test"), F.lit(0)).alias("n_test"),
         F.coalesce(F.col("n_removed"), F.lit(0)).alias("n_removed"))
-    # progress line as the analysis prints it (folds numbered from 1)
-    return out.withColumn("message", F.concat_ws(" ", F.lit("Computing RMSE for fold:"),
-                                                 (F.col("fold") + 1).cast("string"),
-                                                 F.col("n_train").cast("string"), F.col("n_test").cast("string")))
+    # a progress line, folds numbered from 1
+    return out.withColumn("message", F.concat(F.lit("fold "), F.col("fold") + 1, F.lit(": train "), "n_train", F.lit(", test "), "n_test"))

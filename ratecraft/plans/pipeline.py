@@ -1,10 +1,17 @@
 """The analysis pipeline over the driver tables.
 
-rated_items = ratings LEFT JOIN items
-known, validation        guarded split, test = bucket 0
-known (corrected)        id 7 -> 3 with item 3's genres, + release_year, rating_date
-fit_rows, tune_rows    guarded split of known, test = bucket 1
-folds over fit_rows   fold = bucket - 2 (buckets 2..9 -> 8 folds; put-back rows never test)
+rated      ratings with the part each row belongs to, one narrow table written
+           once: raw and corrected item id, user, rating, ts, bucket, rating
+           month, part
+             part 'validation'  guarded split of all rows, test = bucket 0
+             part 'tune'        guarded split of the known rows, test = bucket 1
+             part 'fit'         the known rows that are left
+items      one row per item: title, genres, release year, and its corrected id
+           and genres (id 7 becomes 3 with item 3's genres)
+known      'fit' and 'tune' rows; folds over fit_rows: fold = bucket - 2
+           (buckets 2..9 -> 8 folds; put-back rows never test)
+
+Titles and genres are joined to rows only where a query asks for them.
 """
 
 from __future__ import annotations
@@ -14,8 +21,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.operators.prepare import add_features, correct_ids, drop_ids
-from ratecraft.operators.split import guarded_split
+from ratecraft.functions.features import from_epoch_seconds, release_year, round_to_period
+from ratecraft.operators.prepare import correct_ids, drop_ids
+from ratecraft.operators.split import KEEP, flag_fold_guard
 from ratecraft.session import materialize
 from ratecraft.sources import fixtures
 
@@ -39,21 +47,20 @@ class Pipeline:
     """
 
     @classmethod
-    def of(cls, spark: SparkSession, sf_dir: str, sparse: bool = False, dirty: bool = False) -> "Pipeline":
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), sparse, dirty)
-        if key not in _CACHE:
-            _CACHE[key] = cls(spark, sf_dir, sparse, dirty)
-        return _CACHE[key]
-
-    def __init__(self, spark: SparkSession, sf_dir: str, sparse: bool = False, dirty: bool = False):
-        self.spark, self.sf_dir = spark, sf_dir
-        self.sparse, self.dirty = sparse, dirty
+    def of(cls, spark: SparkSession, sf_dir: str, dirty: bool = False) -> "Pipeline":
+        files = [f for t in ("lineitem", "orders", "part") for f in spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").inputFiles()]
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), dirty)
+        if key not in _CACHE or _CACHE[key][0] != files:    # other files: built anew
+            _CACHE[key] = files, cls(spark, sf_dir, dirty)
+        return _CACHE[key][1]
+
+    def __init__(self, spark: SparkSession, sf_dir: str, dirty: bool = False):
+        self.spark, self.sf_dir, self.dirty = spark, sf_dir, dirty
         self.models: dict = {}   # fitted models shared by the queries of a session
 
     @cached_property
     def ratings(self) -> DataFrame:
-        f = fixtures.load_ratings_sparse if self.sparse else fixtures.load_ratings
-        return f(self.spark, self.sf_dir)
+        return fixtures.load_ratings(self.spark, self.sf_dir)
 
     @cached_property
     def items(self) -> DataFrame:
@@ -64,64 +71,87 @@ class Pipeline:
     def corrections(self) -> DataFrame:
         return materialize(fixtures.load_corrections(self.spark, self.sf_dir), "corrections")
 
+    @cached_property
+    def item_facts(self) -> DataFrame:
+        """Per raw id: title, genres, release year, and the id and genres after the correction."""
+        fixed = correct_ids(self.items.withColumnsRenamed({"item_id": "id", "genres": "g"})
+                            .select("id", "title", "g", F.col("id").alias("item_id"), F.col("g").alias("genres")), self.corrections)
+        return materialize(fixed.select(F.col("id").alias("raw_id"), "title", F.col("g").alias("raw_genres"), "item_id", "genres",
+                                        release_year("title").alias("release_year")), "items")
+
     @cached_property
     def rated_items(self) -> DataFrame:
-        # fact LEFT JOIN dimension; the planner broadcasts items when its
-        # (checked, estimated) size is under the threshold, else shuffles
-        return materialize(self.ratings.join(self.items, "item_id", "left"), "rated_items", rebalance=True)
+        return self.ratings.join(self.items, "item_id", "left")
 
     @cached_property
-    def _outer(self):
-        return guarded_split(self.rated_items, F.col("bucket") == OUTER_TEST_BUCKET)
+    def rated(self) -> DataFrame:
+        """The narrow fact table: both splits flagged in one job, written once."""
+        outer = flag_fold_guard(self.ratings, F.when(F.col("bucket") == OUTER_TEST_BUCKET, F.lit(0)), 1)
+        ids = self.item_facts.select("raw_id", F.col("item_id").alias("new_id"))
+        rows = (outer.withColumnsRenamed({"item_id": "raw_id", KEEP: "held"}).drop("__fold").join(ids, "raw_id", "left")
+                .withColumn("item_id", F.coalesce("new_id", "raw_id")).drop("new_id")
+                .withColumn("rating_date", round_to_period(from_epoch_seconds("ts"), "month")))
+        inner = flag_fold_guard(rows, F.when((F.col("bucket") == INNER_TEST_BUCKET) & ~F.col("held"), F.lit(0)), 1, among=~F.col("held"))
+        part = F.when(F.col("held"), "validation").when(F.col(KEEP), "tune").otherwise("fit")
+        return materialize(inner.withColumn("part", part).drop("held", "__fold", KEEP), "rated", rebalance=True)
+
+    def _rows(self, *parts: str) -> DataFrame:
+        facts = self.item_facts.select("raw_id", "title", "genres", "release_year")
+        return (self.rated.filter(F.col("part").isin(*parts)).join(facts, "raw_id", "left")
+                .select("user_id", "item_id", "rating", "ts", "bucket", "title", "genres", "release_year", "rating_date"))
+
+    def _raw_rows(self, *parts: str) -> DataFrame:
+        facts = self.item_facts.select("raw_id", "title", F.col("raw_genres").alias("genres"))
+        return (self.rated.filter(F.col("part").isin(*parts)).join(facts, "raw_id", "left")
+                .select("user_id", F.col("raw_id").alias("item_id"), "rating", "ts", "bucket", "title", "genres"))
 
-    @property
+    @cached_property
     def known_raw(self) -> DataFrame:
-        return self._outer[0]
+        return self._raw_rows("fit", "tune")
 
-    @property
+    @cached_property
     def validation_raw(self) -> DataFrame:
-        return self._outer[1]
+        return self._raw_rows("validation")
 
     @cached_property
     def known(self) -> DataFrame:
-        return materialize(add_features(correct_ids(self.known_raw, self.corrections)), "known", rebalance=True)
+        return self._rows("fit", "tune")
 
     @cached_property
     def validation(self) -> DataFrame:
-        return add_features(correct_ids(self.validation_raw, self.corrections))
+        return self._rows("validation")
 
     @cached_property
-    def _inner(self):
-        return guarded_split(self.known, F.col("bucket") == INNER_TEST_BUCKET)
-
-    @property
     def fit_rows(self) -> DataFrame:
-        return self._inner[0]
+        return self._rows("fit")
 
-    @property
+    @cached_property
     def tune_rows(self) -> DataFrame:
-        return self._inner[1]
+        return self._rows("tune")
 
     @cached_property
     def title_pairs(self) -> DataFrame:
-        """Distinct (item_id, title) of known before the id correction."""
-        return self.known_raw.select("item_id", "title").distinct()
+        """Distinct (item_id, title) of the known rows before the id correction."""
+        ids = self.rated.filter("part <> 'validation'").select(F.col("raw_id").alias("item_id")).distinct()
+        return ids.join(self.item_facts.select(F.col("raw_id").alias("item_id"), "title"), "item_id", "left")
 
     @cached_property
     def item_titles(self) -> DataFrame:
-        """item_titles without the wrong id."""
+        """title_pairs without the wrong id."""
         return drop_ids(self.title_pairs, self.corrections)
 
-    def plain_model(self):
-        """Plain 5-effect fit on fit_rows, shared by every query of the session.
+    def plain_model(self, upto: int = 5):
+        """Plain fit on fit_rows with (at least) the first ``upto`` effects, shared by the session's queries.
 
-        Effects are fitted in sequence, so its first k effects are exactly the
-        k-effect model (naive, movie, +user, +year, +date, +genre).
+        Effects are fitted in sequence, so the first k effects of a longer
+        model are exactly the k-effect model. The mean alone and the item
+        effect alone are fitted without the rest.
         """
-        if "plain" not in self.models:
+        size = upto if upto < 2 else 5
+        if ("plain", size) not in self.models:
             from ratecraft.operators.effects import fit_effects, standard_effects
-            self.models["plain"] = fit_effects(self.fit_rows, standard_effects(), None)
-        return self.models["plain"]
+            self.models["plain", size] = fit_effects(self.fit_rows, standard_effects(upto=size), None)
+        return self.models["plain", size]
 
     def reg_model(self, lam: float):
         """Regularized 5-effect fit on fit_rows at ``lam``, shared within the session."""

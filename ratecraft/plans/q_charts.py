@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ratecraft.functions.features import from_epoch_seconds, round_to_period
 from ratecraft.operators import profile as pr
 from ratecraft.operators.chartdata import histogram, period_trend
 from ratecraft.plans import oracle_base as ob
@@ -86,6 +87,27 @@ def hist_effects(spark, sf):
 TREND_K = 2
 
 
+@query("trend_year", W(f"""SELECT x.release_year, round(x.a, 6) AS year_mean, round(avg(y.a), 6) AS trend
+FROM ix x JOIN ix y ON abs(x.release_year - y.release_year) <= {TREND_K} GROUP BY x.release_year, x.a""", [],
+    [("ix", "SELECT release_year, avg(rating) AS a FROM known GROUP BY release_year", ["known"])]))
+def trend_year(spark, sf):
+    """Mean rating per release year with a centred 5-year moving average."""
+    m = pr.mean_by(P(spark, sf).known, "release_year", name="year_mean")
+    t = period_trend(m, "release_year", "year_mean", TREND_K)
+    return t.select("release_year", _r6("year_mean").alias("year_mean"), _r6("trend").alias("trend"))
+
+
+@query("trend_week", W(f"""SELECT x.week, round(x.a, 6) AS period_mean, round(avg(y.a), 6) AS trend
+FROM ix x JOIN ix y ON abs(x.week - y.week) <= {7 * TREND_K} GROUP BY x.week, x.a""", [],
+    [("ix", f"SELECT {ob.round_period_sql(ob.ts_of_epoch('ts'), 'week')} AS week, avg(rating) AS a FROM known GROUP BY 1", ["known"])]))
+def trend_week(spark, sf):
+    """Weekly mean rating with a centred 5-week moving average."""
+    e = P(spark, sf).known.withColumn("week", round_to_period(from_epoch_seconds("ts"), "week"))
+    m = pr.mean_by(e, "week", name="period_mean").withColumn("idx", F.floor((F.unix_date("week") + 4) / 7))
+    t = period_trend(m, "idx", "period_mean", TREND_K)
+    return t.select("week", _r6("period_mean").alias("period_mean"), _r6("trend").alias("trend"))
+
+
 @query("trend_month", W(f"""SELECT x.rating_date, round(x.a, 6) AS period_mean, round(avg(y.a), 6) AS trend
 FROM ix x JOIN ix y ON abs(x.idx - y.idx) <= {TREND_K} GROUP BY x.rating_date, x.a""", [],
     [("ix", """SELECT rating_date, avg(rating) AS a, year(rating_date) * 12 + month(rating_date) AS idx

@@ -312,7 +312,7 @@ LEFT JOIN item_titles t ON b.item_id = t.item_id ORDER BY round(b.b_i, 9) {o}, b
 
 def movie_report(spark, sf, desc):
     p = P(spark, sf)
-    m = p.plain_model()
+    m = p.plain_model(1)
     counts = pr.count_by(p.fit_rows, "item_id", "n")
     rep = natural_left_join(counts, m.effect_table(0))
     rep = rep.join(p.item_titles, "item_id", "left")
@@ -332,7 +332,7 @@ ORDER BY round(abs(residual), 9) DESC, item_id, user_id, ts LIMIT 20""", ["tune_
 def largest_residuals(spark, sf):
     """The 20 test rows the movie-effect model misses most."""
     p = P(spark, sf)
-    pred = p.plain_model().predict(p.tune_rows, upto=1).withColumn("residual", F.col("rating") - F.col("pred"))
+    pred = p.plain_model(1).predict(p.tune_rows, upto=1).withColumn("residual", F.col("rating") - F.col("pred"))
     return pr.top_n(pred, [F.round(F.abs("residual"), 9).desc(), F.col("item_id"), F.col("user_id"),
                            F.col("ts")], 20) \
         .select("user_id", "item_id", "title", _r6("residual").alias("residual"))

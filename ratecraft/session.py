@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -68,8 +69,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for file round trips."""
     base = checkpoint_dir(spark).rstrip("/")
-    import uuid
-    return f"{base}/scratch-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/scratch-{name}-{uuid.uuid4().hex[:12]}"
+    # the folder goes when the session's JVM ends
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return path
 
 
 def materialize(df, name: str, rebalance: bool = False):

@@ -28,7 +28,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def load_ratings(spark: SparkSession, sf_dir: str, shipped_before: str | None = None) -> DataFrame:
+def load_ratings(spark: SparkSession, sf_dir: str, shipped_before: str | None = None,
+                 with_order: bool = False) -> DataFrame:
     li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
     if shipped_before is not None:
@@ -42,6 +43,7 @@ def load_ratings(spark: SparkSession, sf_dir: str, shipped_before: str | None =
         (F.ceil(F.col("l_quantity") / 5) / 2).alias("rating"),
         epoch_seconds("l_shipdate").alias("ts"),
         ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13 + F.col("l_partkey")) % 10).alias("bucket"),
+        *([F.col("l_orderkey").alias("order_id")] if with_order else []),
     )
 
 

@@ -99,3 +99,50 @@ def test_folds_as_key_equal_per_fold_loop(spark):
             g = got[(h, lam)]
             assert g[1] == one.n
             assert (g[0] is None and one.rmse is None) or math.isclose(g[0], one.rmse, rel_tol=1e-9)
+
+
+def test_null_ratings_are_strict_or_dropped(spark):
+    from ratecraft.operators.effects import Effect, fit_effects
+    df = spark.createDataFrame([(1, 4.0), (1, None), (2, 2.0)], "item_id long, rating double")
+    strict = fit_effects(df, [Effect("b_i", "item_id")])
+    assert {r.b_i for r in strict.effect_table(0).collect()} == {None}
+    dropped = fit_effects(df, [Effect("b_i", "item_id")], drop_null=True)
+    assert {r.item_id: r.b_i for r in dropped.effect_table(0).collect()} == {1: 1.0, 2: -1.0}
+
+
+def test_any_number_of_lambdas_has_one_api(spark):
+    from ratecraft.operators.effects import LAMBDA_CHUNK, fit_effects, standard_effects
+    rows = [(u, i, float((u * i) % 5 + 1)) for u in range(6) for i in range(7)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    effects = standard_effects(upto=2)
+    lambdas = [0.5 * j for j in range(LAMBDA_CHUNK + 2)]
+    many = fit_effects(df, effects, lambdas)
+    for slot in (0, LAMBDA_CHUNK + 1):
+        one = fit_effects(df, effects, lambdas[slot])
+        for a, b in ((many.effect_table(1, slot), one.effect_table(1)), (many.predict(df, slot=slot).select("pred"), one.predict(df).select("pred"))):
+            key = lambda t: sorted(tuple(round(x, 9) for x in r) for r in t.collect())
+            assert key(a) == key(b)
+
+
+def test_hot_item_is_split(spark):
+    """An item with a third of all rows: the row-side join is an equi-join that AQE splits, and the sums are exact."""
+    from ratecraft.operators.effects import Effect, fit_effects
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("item_id"),
+                                    (F.col("id") % 50).alias("user_id"), (F.col("id") % 5).cast("double").alias("rating"))
+    m = fit_effects(df, [Effect("b_i", "item_id"), Effect("b_u", "user_id")], 1.0)
+    mu = 2.0
+    hot = m.effect_table(0).filter("item_id = 0").first().b_i
+    assert abs(hot - sum((i % 5) - mu for i in range(0, 60_000, 3)) / 20_001) < 1e-9
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = m.attach(df, 1)
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -46,3 +46,31 @@ def test_period_trend(spark):
 def test_duplicated_rows(spark):
     df = spark.createDataFrame([(1, "x"), (2, "y"), (3, "x"), (4, "x")], "item_id long, title string")
     assert sorted(r.item_id for r in pr.duplicated_rows(df, "title", "item_id").collect()) == [3, 4]
+
+
+def test_null_titles_repeat_and_join(spark):
+    from ratecraft.operators import profile as pr
+    from ratecraft.operators.joins import natural_left_join
+    df = spark.createDataFrame([(1, None), (2, None), (3, "a"), (4, "a"), (5, "b")], "item_id long, title string")
+    assert sorted(r.item_id for r in pr.duplicated_rows(df, "title", "item_id").collect()) == [2, 4]
+    assert {r.repeated: r.n for r in pr.duplicate_counts(df, "title", "item_id").collect()} == {False: 3, True: 2}
+    right = spark.createDataFrame([(None, 1), ("a", 2)], "title string, v int")
+    assert {r.item_id: r.v for r in natural_left_join(df, right).collect()} == {1: 1, 2: 1, 3: 2, 4: 2, 5: None}
+
+
+def test_summary_of_every_kind_of_column_in_one_scan(spark):
+    from ratecraft.operators import profile as pr
+    df = spark.createDataFrame([(1, 1.0, "2000-01-01"), (2, None, "2000-01-03"), (3, 4.0, None)], "a long, b double, d string")
+    df = df.withColumn("d", F.col("d").cast("date"))
+    out = pr.column_summary(df, ["a", "b", "d"], exact=True)
+    rows = {r.column: r for r in out.collect()}
+    assert (rows["a"].median, rows["b"].n_na, rows["d"].n_na, rows["d"].max - rows["d"].min) == (2.0, 1, 1, 2.0)
+
+
+def test_corrections_use_no_loop_join(spark):
+    from conftest import SF
+    from ratecraft.operators.prepare import correct_ids, drop_ids
+    from ratecraft.plans.pipeline import Pipeline
+    p = Pipeline.of(spark, SF)
+    for df in (correct_ids(p.known_raw, p.corrections), p.item_titles, drop_ids(p.known_raw, p.corrections)):
+        assert "NestedLoop" not in df._jdf.queryExecution().executedPlan().toString()

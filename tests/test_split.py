@@ -61,15 +61,24 @@ def test_stratified_sample_hits_every_stratum(spark):
     from ratecraft.operators.split import stratified_sample
     from ratecraft.sources.fixtures import load_ratings
     r = load_ratings(spark, SF01)
-    s = stratified_sample(r, "rating", 0.1, ["user_id", "item_id", "ts"], seed=1)
+    r = r.withColumn("draw", F.xxhash64("user_id", "item_id", "ts", "bucket").bitwiseAND(F.lit((1 << 52) - 1)))
+    s = stratified_sample(r, "rating", 0.1, "draw")
     per = s.groupBy("rating").agg(F.avg(F.col("is_test").cast("double")).alias("share"),
                                   F.count(F.lit(1)).alias("n")).collect()
     for row in per:
-        if row.n >= 200:
-            assert abs(row.share - 0.1) < 0.02, row
+        assert abs(row.share - 0.1) <= 1 / row.n, row
     assert s.count() == r.count()
 
 
+def test_stratified_folds_are_even_with_hot_and_null_strata(spark):
+    from ratecraft.operators.split import stratified_folds
+    df = spark.range(3000).select(F.when(F.col("id") % 3 != 0, F.lit("hot")).when(F.col("id") % 2 == 0, F.lit("b")).alias("s"), "id",
+                                  F.xxhash64("id").bitwiseAND(F.lit((1 << 52) - 1)).alias("draw"))
+    got = {(r.s, r.fold): r["count"] for r in stratified_folds(df, "s", 4, "draw").groupBy("s", "fold").count().collect()}
+    for s, n in (("hot", 2000), ("b", 500), (None, 500)):
+        assert [got[s, f] for f in range(4)] == [n // 4] * 4
+
+
 def test_sparse_filter_reaches_parquet_scan(spark):
     r = load_ratings_sparse(spark, SF01)
     plan = r._jdf.queryExecution().executedPlan().toString()
