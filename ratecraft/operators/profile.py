@@ -51,20 +51,21 @@ def genre_counts_direct(df: DataFrame, genres: str = "genres") -> DataFrame:
             .groupBy("genre").agg(F.count(F.lit(1)).alias("count_ratings")))
 
 
-def column_summary(df: DataFrame, cols: Sequence[str], exact: bool = False, accuracy: int = 100_000) -> DataFrame:
+def column_summary(df: DataFrame, cols: Sequence[str], exact: Sequence[str] = (), accuracy: int = 100_000) -> DataFrame:
     """min, quartiles, mean, max and null count per numeric or date column (long form, dates in days).
 
-    One pass over the data computes every column. Quartiles interpolate
-    between the two values around them, found by ``percentile_approx``'s
-    bounded sketch when ``exact`` is off and by ``percentile`` (a value ->
-    count map for each column in one task, for columns with few values) when
-    it is on.
+    One pass over the data computes every column. For the columns in
+    ``exact`` (with few values: ratings, years, months) quartiles interpolate
+    between the two values around them, by ``percentile``, which holds a
+    value -> count map. All others use ``percentile_approx``'s sketch of
+    bounded size: a value of the column whose rank is off by 1 / ``accuracy``
+    of the rows at most.
     """
     kinds = dict(df.dtypes)
     aggs = []
     for i, c in enumerate(cols):
         x = (F.unix_date(F.col(c).cast("date")) if kinds[c] in ("date", "timestamp", "timestamp_ntz") else F.col(c)).cast("double")
-        q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
+        q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if c in exact
              else F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy).cast("array<double>"))
         aggs.append(F.struct(F.lit(c).alias("column"), F.min(x).alias("min"), F.get(q, 0).alias("q1"), F.get(q, 1).alias("median"),
                              F.avg(x).alias("mean"), F.get(q, 2).alias("q3"), F.max(x).alias("max"),
