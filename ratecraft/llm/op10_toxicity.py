@@ -51,6 +51,7 @@ MAX_PASSAGES = 300          # passages that training takes from one text, spread
 EPOCHS = (30, 30, 30)       # Adam steps before each re-attribution of the toxic texts' labels
 DECAY = 0.02
 HARD = 4.0                  # extra weight of a clean passage that the model gets wrong
+HARD_WORD = 20.0            # extra weight of a clean word that is not clearly clean
 ALONE = 0.5                 # weight of the clean words as passages of their own
 CALIBRATE = 0.2             # share of the training rows that fits the score
 CACHE_WORDS = 250_000
@@ -136,9 +137,13 @@ def train(texts: list[str | None], toxic: list[int], share: float | None = None,
         return Model(np.zeros(BUCKETS, np.float32), 0.0, 0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
     share = float(np.mean(y_doc)) if share is None else share
     vocabulary: dict[str, int] = {}
-    ids, doc_of, length = [], [], []
+    ids, doc_of, length, clean_words = [], [], [], []
+    rng = np.random.default_rng(seed)
+    kept = rng.random(len(y_doc)) >= CALIBRATE          # the rest calibrates the score
     for d, text in enumerate(texts):
         w = np.array([vocabulary.setdefault(letters_of(t[:LONG_WORD]), len(vocabulary)) for t in (text or "").split()], np.int32)
+        if kept[d] and not y_doc[d]:
+            clean_words.append(np.unique(w))
         a, b = passages(len(w))
         if len(a) > MAX_PASSAGES:            # of a longer text, passages spread evenly
             keep = np.linspace(0, len(a) - 1, MAX_PASSAGES).astype(np.int64)
@@ -157,8 +162,6 @@ def train(texts: list[str | None], toxic: list[int], share: float | None = None,
     g_n = np.maximum(np.diff(g_start), 1)
     type_of_gram = np.repeat(np.arange(len(types), dtype=np.int32), np.diff(g_start))
 
-    rng = np.random.default_rng(seed)
-    kept = rng.random(len(y_doc)) >= CALIBRATE          # the rest calibrates the score
     emb = rng.normal(0, 1 / DIM, (BUCKETS, DIM))
     layer = rng.normal(0, 1 / np.sqrt(DIM), (DIM, 2))
     bias = np.zeros(2)
@@ -181,13 +184,17 @@ def train(texts: list[str | None], toxic: list[int], share: float | None = None,
         x -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
 
     y = y_doc[doc_of].astype(np.float64)
-    # each word of the clean texts is also a clean passage of its own, so that no repeated word can look toxic
-    clean = np.bincount(word, weights=((y == 0) & kept[doc_of])[p_of_word], minlength=len(types)) > 0
-    alone = np.where(clean, ALONE / max(clean.sum(), 1), 0.0)
+    # each word of the whole clean texts is also a clean passage of its own, so that no word can look toxic alone
+    clean = np.zeros(len(types))
+    if clean_words:
+        clean[np.concatenate(clean_words)] = 1.0
+    alone = clean * (ALONE / max(clean.sum(), 1))
     use = kept[doc_of].astype(np.float64)
     for phase, n_steps in enumerate(epochs):
         if phase:                            # toxic texts hold only by their worst passages from here on
-            _, margin = forward()
+            single, margin = forward()
+            alone = clean * (1.0 + HARD_WORD * (single > -1))
+            alone *= ALONE / max(alone.sum(), 1)
             best = np.full(len(y_doc), -np.inf)
             np.maximum.at(best, doc_of, margin)
             worst = (margin >= best[doc_of] - 1e-12) | (margin > np.maximum(0.5 * best[doc_of], 0))
