@@ -75,7 +75,7 @@ def flag_fold_guard(df: DataFrame, fold: Column | str, k: int,
     A key is known for fold f when it has at least one row outside fold f.
     One aggregate per key gives its total row count and its row count in
     every fold (an array of k counts); a row is then checked against its
-    own fold's entry. Null keys match each other, as in dplyr's semi join.
+    own fold's entry. Null keys match each other.
     """
     fold_c = F.col(fold) if isinstance(fold, str) else fold
     out = df.withColumn("__fold", F.when((fold_c >= 0) & (fold_c < k), fold_c.cast("int")))
