@@ -34,6 +34,8 @@ ignored or passed through.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -201,12 +203,24 @@ def _sign(batches):
 
 
 def _sets(batches):
+    """Shingle sets of texts; rows of one id come together, and one that repeats an earlier set of its id is left out."""
+    last, seen = None, set()
     for batch in batches:
         for part in text_parts(batch):
             raw, offsets = utf8_buffer(part.column("text"))
             value, starts = shingles(raw, offsets)
-            yield pa.record_batch([part.column("doc_id"), part.column("family"), part.column("size"), pa.ListArray.from_arrays(
-                pa.array(starts, pa.int32()), pa.array(value.view(np.int64)))], names=["rep", "family", "size", "set"])
+            keep = []
+            for i, rep in enumerate(part.column("doc_id").to_pylist()):
+                if rep != last:
+                    last, seen = rep, set()
+                digest = hashlib.blake2b(value[starts[i]:starts[i + 1]].tobytes(), digest_size=16).digest()
+                if digest not in seen:
+                    seen.add(digest)
+                    keep.append(i)
+            sets = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(value.view(np.int64)))
+            out = pa.record_batch([part.column("doc_id"), part.column("family"), part.column("size"), sets],
+                                  names=["rep", "family", "size", "set"])
+            yield out if len(keep) == out.num_rows else out.take(pa.array(keep, pa.int64()))
 
 
 def _near(limit: float):
