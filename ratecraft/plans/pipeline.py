@@ -60,7 +60,8 @@ class Pipeline:
 
     @cached_property
     def ratings(self) -> DataFrame:
-        return fixtures.load_ratings(self.spark, self.sf_dir)
+        """The join of the two large tables, made once: five narrow columns."""
+        return materialize(fixtures.load_ratings(self.spark, self.sf_dir), "ratings")
 
     @cached_property
     def items(self) -> DataFrame:
