@@ -121,22 +121,21 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         .filter("u != v")
     e = materialize(e.mapInArrow(_union_partition, "u long, v long").distinct(), f"cc-{name}")
     while not _is_star_forest(e):
-        sym = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        sym = e.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         low = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (sym.join(low, "u").filter("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        small = (small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))))
+        small = large.join(low, "u").select(F.inline(F.array(
+            F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))).filter("u != v")
         e = materialize(small.mapInArrow(_union_partition, "u long, v long").distinct(), f"cc-{name}")
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 def _is_star_forest(e: DataFrame) -> bool:
     """True if no node has two parents and no parent has a parent."""
-    ends = e.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
-        e.select(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    ends = e.select(F.inline(F.array(F.struct(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                                     F.struct(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))))
     bad = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")) \
         .filter("up > 1 or (up > 0 and down > 0)")
     return bad.isEmpty()
