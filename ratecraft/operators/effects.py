@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.functions.stats import strict_rmse_aggs
+from ratecraft.functions.stats import strict_mean, strict_rmse_aggs
 from ratecraft.operators.joins import keyed_join
 from ratecraft.session import materialize
 
@@ -213,7 +213,7 @@ def fit_effects(train: DataFrame, effects: Sequence[Effect], lambdas=None,
     if drop_null:
         train = train.filter(F.col(rating).isNotNull())
     rows = train.select(*by, rating, *dict.fromkeys(e.key for e in effects))
-    mu = keep(rows.groupBy(*by).agg((_strict_sum(F.col(rating)) / F.count(F.lit(1))).alias("mu")), "mu")
+    mu = keep(rows.groupBy(*by).agg(strict_mean(rating).alias("mu")), "mu")
     first_tables, base = [], None
     if effects:
         e0 = effects[0]

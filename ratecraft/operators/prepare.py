@@ -1,12 +1,10 @@
-"""Row corrections and feature columns."""
+"""Row corrections."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.functions.features import from_epoch_seconds, release_year, round_to_period
-
 
 def correct_ids(df: DataFrame, corrections: DataFrame, key: str = "item_id",
                 extra: dict | None = None) -> DataFrame:
@@ -32,13 +30,3 @@ def correct_ids(df: DataFrame, corrections: DataFrame, key: str = "item_id",
 def drop_ids(df: DataFrame, ids: DataFrame, key: str = "item_id", id_col: str = "old_id") -> DataFrame:
     """Remove rows whose key is in ``ids`` (keeps everything when none match)."""
     return df.join(ids.select(F.col(id_col).alias(key)).distinct(), key, "left_anti")
-
-
-def add_features(df: DataFrame, title: str = "title", ts: str = "ts",
-                 period: str = "month", drop_ts: bool = False) -> DataFrame:
-    """Add release_year (from the title) and rating_date (ts rounded to a period)."""
-    out = df.withColumns({
-        "release_year": release_year(title),
-        "rating_date": round_to_period(from_epoch_seconds(ts), period),
-    })
-    return out.drop(ts) if drop_ts else out
