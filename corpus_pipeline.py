@@ -19,6 +19,9 @@ from ratecraft.llm.op08_mix import emit_mix
 from ratecraft.llm.op10_toxicity import keep_clean
 from ratecraft.session import materialize
 
+#: Words of a shingle in the near-copy stage (``op5_minhash_dedup`` takes two).
+SHINGLE = 5
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject (score below 0.5)."""
@@ -26,8 +29,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each near-duplicate group."""
-    return drop_duplicates(docs)
+    """One document, the smallest id, of each near-duplicate group by shingles of ``SHINGLE`` words."""
+    return drop_duplicates(docs, SHINGLE)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

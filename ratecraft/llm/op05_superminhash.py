@@ -1,7 +1,8 @@
 """SuperMinHash near-duplicate groups of documents, confirmed on full shingle sets.
 
-1. Each text becomes its set of distinct ``SHINGLE``-word shingles, as 64-bit
-   hashes (a text with fewer words is one shingle). Per document a SuperMinHash
+1. Each text becomes its set of distinct shingles of ``size`` words (``SHINGLE``
+   in the query, five in the corpus pipeline), as 64-bit hashes (a text with
+   fewer words is one shingle). Per document a SuperMinHash
    signature of ``M`` values is built: element x offers value j + r_j(x) at
    place p_j(x), for the steps j = 0, 1, ... of a random permutation of the
    places, and steps stop as soon as no place could still be lowered. Every
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 from ratecraft.llm.common import U64, components, mix64, ship, table, text_parts, utf8_buffer
 from ratecraft.session import materialize
 
-SHINGLE = 2
+SHINGLE = 2              # words of a shingle, unless a caller says otherwise
 SIMILARITY = 80          # per cent
 BANDS, ROWS = 32, 4
 M = BANDS * ROWS
@@ -54,6 +55,7 @@ SET_BLOCK = 256          # documents of a family compared together exactly
 SET_SHINGLES = 200_000   # and their shingles
 COLUMNS = 8192
 PIECE = 4 << 20
+SLICE = 1 << 20          # bytes of the texts that are shingled together
 _SEP = np.zeros(256, bool)
 _SEP[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -179,48 +181,53 @@ def band_keys(h: np.ndarray) -> np.ndarray:
 _SIGNED = ("doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, sig binary")
 
 
-def _sign(batches):
-    names = ["doc_id", "n_shingles", "k1", "k2", "bands", "sig"]
-    for batch in batches:
-        for part in text_parts(batch):
-            raw, offsets = utf8_buffer(part.column("text"))
-            value, starts = shingles(raw, offsets)
-            n = np.diff(starts)
-            with np.errstate(over="ignore"):
-                sums = [np.concatenate([np.zeros(1, U64), np.cumsum(mix64(value ^ U64(c)))]) for c in (0x5851F42D, 0x14057B7E)]
-            k1, k2 = ((t[starts[1:]] - t[starts[:-1]]).view(np.int64) for t in sums)
-            bands, sig = [], []
-            for a, b in zip(starts[:-1], starts[1:]):
-                if a == b:
-                    bands.append(None)
-                    sig.append(None)
-                    continue
-                h = superminhash(value[a:b])
-                bands.append(band_keys(h).view(np.int64))
-                sig.append(mix64(h).astype("<u2").tobytes())
-            yield pa.record_batch([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(k1), pa.array(k2),
-                                   pa.array(bands, pa.list_(pa.int64())), pa.array(sig, pa.binary())], names=names)
-
-
-def _sets(batches):
+def _sign(size: int):
+    """Signatures of texts whose shingles have ``size`` words."""
+    def run(batches):
+        names = ["doc_id", "n_shingles", "k1", "k2", "bands", "sig"]
+        for batch in batches:
+            for part in text_parts(batch, max_bytes=SLICE):
+                raw, offsets = utf8_buffer(part.column("text"))
+                value, starts = shingles(raw, offsets, size)
+                n = np.diff(starts)
+                with np.errstate(over="ignore"):
+                    sums = [np.concatenate([np.zeros(1, U64), np.cumsum(mix64(value ^ U64(c)))]) for c in (0x5851F42D, 0x14057B7E)]
+                k1, k2 = ((t[starts[1:]] - t[starts[:-1]]).view(np.int64) for t in sums)
+                bands, sig = [], []
+                for a, b in zip(starts[:-1], starts[1:]):
+                    if a == b:
+                        bands.append(None)
+                        sig.append(None)
+                        continue
+                    h = superminhash(value[a:b])
+                    bands.append(band_keys(h).view(np.int64))
+                    sig.append(mix64(h).astype("<u2").tobytes())
+                yield pa.record_batch([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(k1), pa.array(k2),
+                                       pa.array(bands, pa.list_(pa.int64())), pa.array(sig, pa.binary())], names=names)
+    return run
+
+
+def _sets(size: int):
     """Shingle sets of texts; rows of one id come together, and one that repeats an earlier set of its id is left out."""
-    last, seen = None, set()
-    for batch in batches:
-        for part in text_parts(batch):
-            raw, offsets = utf8_buffer(part.column("text"))
-            value, starts = shingles(raw, offsets)
-            keep = []
-            for i, rep in enumerate(part.column("doc_id").to_pylist()):
-                if rep != last:
-                    last, seen = rep, set()
-                digest = hashlib.blake2b(value[starts[i]:starts[i + 1]].tobytes(), digest_size=16).digest()
-                if digest not in seen:
-                    seen.add(digest)
-                    keep.append(i)
-            sets = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(value.view(np.int64)))
-            out = pa.record_batch([part.column("doc_id"), part.column("family"), part.column("size"), sets],
-                                  names=["rep", "family", "size", "set"])
-            yield out if len(keep) == out.num_rows else out.take(pa.array(keep, pa.int64()))
+    def run(batches):
+        last, seen = None, set()
+        for batch in batches:
+            for part in text_parts(batch, max_bytes=SLICE):
+                raw, offsets = utf8_buffer(part.column("text"))
+                value, starts = shingles(raw, offsets, size)
+                keep = []
+                for i, rep in enumerate(part.column("doc_id").to_pylist()):
+                    if rep != last:
+                        last, seen = rep, set()
+                    digest = hashlib.blake2b(value[starts[i]:starts[i + 1]].tobytes(), digest_size=16).digest()
+                    if digest not in seen:
+                        seen.add(digest)
+                        keep.append(i)
+                sets = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(value.view(np.int64)))
+                out = pa.record_batch([part.column("doc_id"), part.column("family"), part.column("size"), sets],
+                                      names=["rep", "family", "size", "set"])
+                yield out if len(keep) == out.num_rows else out.take(pa.array(keep, pa.int64()))
+    return run
 
 
 def _near(limit: float):
@@ -332,10 +339,10 @@ def _exact_links(batches):
             yield pa.record_batch([pa.array(rep[at]), pa.array(root[at])], names=["a", "b"])
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, set digest (k1, k2), band keys and 16-bit signature of each document."""
     ship(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sign, _SIGNED)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sign(size), _SIGNED)
 
 
 def _families(classes: DataFrame) -> DataFrame:
@@ -374,7 +381,7 @@ def in_blocks(rows: DataFrame, blocks: F.Column) -> DataFrame:
             .withColumn("bi", F.least("blk", "other")).withColumn("bj", F.greatest("blk", "other")))
 
 
-def _links(docs: DataFrame, classes: DataFrame, families: DataFrame) -> DataFrame:
+def _links(docs: DataFrame, classes: DataFrame, families: DataFrame, shingle: int) -> DataFrame:
     """Edges (a, b) that span the links of the families, confirmed on full sets."""
     member = classes.select("rep", F.col("n_shingles").alias("n"))
     root = families.select("root").distinct().select(F.col("root").alias("node"), "root")
@@ -385,19 +392,19 @@ def _links(docs: DataFrame, classes: DataFrame, families: DataFrame) -> DataFram
     # by shuffle at every size: a plan that changes with the number of members would change what is moved
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
              .join(member.hint("merge"), F.col("doc_id") == F.col("rep")).select("doc_id", "text", "family", "size"))
-    sets = in_blocks(texts.mapInArrow(_sets, "rep long, family long, size long, set array<long>"), F.col("size"))
+    sets = in_blocks(texts.mapInArrow(_sets(shingle), "rep long, family long, size long, set array<long>"), F.col("size"))
     dealt = (sets.select("family", "bi", "bj", "blk", "rep", "set")
              .repartition("family", "bi", "bj").sortWithinPartitions("family", "bi", "bj"))
     return dealt.mapInArrow(_exact_links, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
-    signed = materialize(signatures(docs), "minhash-signed")
+def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept; shingles of ``size`` words."""
+    signed = materialize(signatures(docs, size), "minhash-signed")
     classes = materialize(
         signed.filter("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2", "n_shingles")
         .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "minhash-classes")
-    groups = components(_links(docs, classes, _families(classes)), "minhash")
+    groups = components(_links(docs, classes, _families(classes), size), "minhash")
     of_class = (classes.select("k1", "k2", F.col("n_shingles").alias("n"), "rep")
                 .join(groups, F.col("rep") == F.col("node"), "left")
                 .select("k1", "k2", "n", F.coalesce("root", "rep").alias("root")))
@@ -408,12 +415,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
-def drop_duplicates(docs: DataFrame) -> DataFrame:
+def drop_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``docs`` with one document of each group (the smallest id, one row of it); rows without an id stay."""
-    kept = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
+    kept = near_duplicates(docs, size).filter("kept and doc_id is not null").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.filter("doc_id is null")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), SHINGLE)
