@@ -124,7 +124,9 @@ TEXTS = (
     ("zlib", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable", ("provided as is without any express",), 90, .9),
     ("boost", r"permission is hereby granted free of charge to any person or organization obtaining a copy", ("person or organization obtaining",), 95, .98),
     ("unlicense", r"this is free and unencumbered software released into the public domain", ("free and unencumbered",), 95, .98),
-    ("cc0", r"(?:cc0|creative commons (?:zero|0)|cc zero)(?: 1 0)?(?: universal)?", ("cc0", ), 70, .8),
+    ("cc0", r"cc0(?: 1 0)?(?: universal)?", ("cc0",), 70, .8),
+    ("cc0", r"creative commons (?:zero|0)(?: 1 0)?(?: universal)?", ("creative commons",), 70, .8),
+    ("cc0", r"cc zero(?: 1 0)?(?: universal)?", ("cc zero",), 70, .8),
     ("cc0", r"creative commons (?:cc0|zero)", ("creative commons",), 75, .9),
     ("public-domain", r"(?:released|dedicated|placed|is) (?:in|into|to) the public domain", ("the public domain",), 70, .8),
     ("public-domain", r"public domain(?: dedication| mark)?", ("public domain",), 30, .4),
