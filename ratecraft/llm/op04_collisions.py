@@ -11,8 +11,8 @@ Vectors of one label (and length) are compared by cosine in double precision.
    so R = log(miss) / log(1 - p^k) tables leave out ``MISS`` of such pairs.
 3. In a cell, ``M`` projections of the classes are compared in windows of half
    width ``WIDTH`` standard deviations (of a pair at the limit) centred on each
-   query; the query's window on the first one is cut out of its sorted order.
-   A pair's collisions over all projections are counted, and a count of at
+   query. Every pair of the cell has its collisions over all projections
+   counted, none is left out by one projection alone, and a count of at
    least ``required()`` (again ``MISS`` of the pairs at the limit fall short)
    has it verified by the cosine.
 4. A link found in several tables counts only in the first of them. Cells are
@@ -113,22 +113,15 @@ _DEALT = "label string, dim int, tbl int, cell long, rep long, weight long, code
 
 def _block_links(a: dict, b: dict | None, tbl: int, half: float, least: int):
     """Linked index pairs of one block, or of two, that no earlier table has found."""
-    order = np.argsort((b or a)["places"][:, 0], kind="stable")
-    other = {k: v[order] for k, v in (b or a).items()}
-    first = np.ascontiguousarray(other["places"][:, 0])
+    near = (b or a)["places"]
     left, right = [], []
     for lo in range(0, len(a["rep"]), 64):
         q = a["places"][lo:lo + 64]
-        begin = int(np.searchsorted(first, q[:, 0].min() - half))
-        end = int(np.searchsorted(first, q[:, 0].max() + half, side="right"))
-        if begin == end:
-            continue
-        near = other["places"][begin:end]
-        count = np.zeros((len(q), end - begin), np.uint8)
+        count = np.zeros((len(q), len(near)), np.uint8)
         for j in range(M):
             count += np.abs(q[:, j, None] - near[None, :, j]) <= half
         i, j = np.nonzero(count >= least)
-        i, j = i + lo, order[j + begin]
+        i = i + lo
         keep = i < j if b is None else np.ones(len(i), bool)
         left.append(i[keep])
         right.append(j[keep])
