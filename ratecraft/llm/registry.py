@@ -13,8 +13,12 @@ from ratecraft.llm.op07_decontam import op7_decontam
 from ratecraft.llm.op08_mix import op8_mix_sources
 from ratecraft.llm.op09_url_rules import op9_url_rules
 from ratecraft.llm.op10_toxicity import op10_toxicity
+from ratecraft.llm.op11_warc import op11_warc_index
+from ratecraft.llm.op12_treap_search import op12_treap_search
+from ratecraft.llm.op13_hard_negatives import op13_hard_negatives
 
 QUERIES = {f.__name__: f for f in [
     op1_token_store, op2_language_id, op3_license_scan, op4_vector_dedup, op5_minhash_dedup, op6_edit_counts,
-    op7_decontam, op8_mix_sources, op9_url_rules, op10_toxicity]}
+    op7_decontam, op8_mix_sources, op9_url_rules, op10_toxicity,
+    op11_warc_index, op12_treap_search, op13_hard_negatives]}
 ORACLE: dict[str, str] = dict(sql.ORACLE)

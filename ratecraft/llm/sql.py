@@ -104,4 +104,59 @@ SELECT page_id, host, path, fit.rule AS rule,
 FROM ruled
 """
 
-ORACLE: dict[str, str] = {"op7_decontam": DECONTAM, "op8_mix_sources": MIX, "op9_url_rules": URLS}
+WARC = """
+WITH payload AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id DESC NULLS LAST) AS place,
+         max(page_id) OVER (PARTITION BY payload_digest) AS top FROM payload
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND place > 1 THEN top END AS refers_to
+FROM placed
+"""
+
+SEARCH = f"""
+WITH words AS (
+  SELECT row_number() OVER () AS d, doc_id, {_WORDS} AS w FROM documents
+), sized AS (SELECT d, doc_id, w, CAST(len(w) AS HUGEINT) AS n FROM words WHERE len(w) > 0
+), total AS (SELECT count(*) AS n_docs, sum(n) AS n_terms FROM sized
+), tf AS (
+  SELECT d, t, CAST(count(*) AS HUGEINT) AS tf FROM (SELECT d, unnest(w) AS t FROM sized) GROUP BY d, t
+), item_rows AS (SELECT row_number() OVER () AS i, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), item_terms AS (SELECT DISTINCT i, unnest({_WORDS}) AS t FROM item_rows
+), df AS (SELECT t, count(*) AS df FROM tf WHERE t IN (SELECT t FROM item_terms) GROUP BY t
+), weights AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS HUGEINT) AS wt FROM df, total
+), scored AS (
+  SELECT i, tf.d, CAST(sum(wt * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM item_terms JOIN weights USING (t) JOIN tf USING (t) JOIN sized ON sized.d = tf.d, total GROUP BY i, tf.d
+), placed AS (
+  SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS place
+  FROM scored JOIN sized USING (d) WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM placed JOIN item_rows USING (i) WHERE place <= 50
+"""
+
+NEGATIVES = """
+WITH usable AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_inner_product(list_transform(a.v, lambda x: CAST(x AS DOUBLE)), list_transform(b.v, lambda x: CAST(x AS DOUBLE))) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.r <> b.r AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT * FROM pairs WHERE same QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, other_id, br) <= 5
+), negatives AS (
+  SELECT p.anchor_id, p.other_id AS positive_id, n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.ar, p.br ORDER BY n.score DESC, n.other_id, n.br) AS INTEGER) AS rank
+  FROM positives p JOIN pairs n ON n.ar = p.ar AND NOT n.same
+  WHERE 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3
+"""
+
+ORACLE: dict[str, str] = {"op11_warc_index": WARC, "op12_treap_search": SEARCH, "op13_hard_negatives": NEGATIVES, "op7_decontam": DECONTAM, "op8_mix_sources": MIX, "op9_url_rules": URLS}

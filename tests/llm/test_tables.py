@@ -181,5 +181,5 @@ def test_pipeline_odd_rows(spark, odd_docs, no_docs, tmp_path):
 
 def test_query_names():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 11)) and len(names) == 10
+    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 14)) and len(names) == 13
     assert zlib.crc32(b"1") == 2212294583
