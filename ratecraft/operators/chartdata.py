@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratecraft.operators.joins import keyed_join
+from ratecraft.operators.quantiles import grouped_quantiles
+from ratecraft.session import materialize
 
 
 def histogram(df: DataFrame, col: str | Column, bins: int, log10: bool = False) -> DataFrame:
@@ -31,15 +33,12 @@ def histogram(df: DataFrame, col: str | Column, bins: int, log10: bool = False)
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Box-plot numbers per group: quartiles, whiskers (1.5 IQR), outliers.
 
-    Quartiles use exact linear interpolation; whiskers are the most extreme
+    Quartiles are exact with linear interpolation, from value counts spread over
+    partitions (``quantiles.grouped_quantiles``); whiskers are the most extreme
     values inside the fences, found by joining the per-group fences back.
     """
     v = F.col(value).cast("double")
-    q = df.groupBy(group).agg(
-        F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("__q"),
-        F.count(F.lit(1)).alias("n"))
-    q = q.select(group, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-                 F.col("__q")[2].alias("q3"))
+    q = materialize(grouped_quantiles(df, group, value, (0.25, 0.5, 0.75), ("q1", "median", "q3")), "quartiles")
     fences = q.select(group, (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("__lo"),
                       (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("__hi"))
     j = keyed_join(df.select(group, v.alias("__v")), fences, [group], "inner", null_safe=[group])

@@ -1,9 +1,9 @@
 """Additive bias-effect rating models: rating ~ mu + b_item + b_user + ...
 
 Effects are fitted one after another on what the earlier ones leave. The
-rows joined to the first effect's sums are written once; each later effect
-joins the effects before it to that table and aggregates the residuals (the
-item join is so paid once, the user join once per later effect).
+rows joined to the first effect's sums are written once; the second effect is
+an aggregate of that table and is joined to it once, whatever the number of
+later effects, which follow from marginal sums and pair counts.
 
 A null rating makes its mean and its effects null (``drop_null=True`` fits
 without such rows).
@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -153,24 +154,28 @@ class EffectModel:
         return t.withColumns(cols).drop(*[c for c in helper if c in t.columns])
 
     def rmse(self, test: DataFrame, upto: int | None = None) -> DataFrame:
-        """Strict RMSE per ``by`` group and lambda: (by..., lambda, rmse, n, n_unscored)."""
-        upto = len(self.effects) if upto is None else upto
-        t = self.attach(test, upto)
-        L = len(self.slots)
-        preds = self._pred_cols(upto)
-        aggs = []
-        for j in range(L):
-            aggs += strict_rmse_aggs(F.col(self.rating), preds[f"pred__{j}"], prefix=f"s{j}_")
+        """Strict RMSE per ``by`` group and lambda: (by..., slot, lambda, rmse, n, n_unscored)."""
+        return self._scores(test, [len(self.effects) if upto is None else upto]).drop("upto")
+
+    def rmse_prefixes(self, test: DataFrame) -> DataFrame:
+        """``rmse`` of the first 0, 1, ... effects, all from one pass: (by..., upto, slot, lambda, rmse, n, n_unscored)."""
+        return self._scores(test, list(range(len(self.effects) + 1)))
+
+    def _scores(self, test: DataFrame, prefixes: list[int]) -> DataFrame:
+        t = self.attach(test, max(prefixes))
+        aggs, structs = [], []
+        for k in prefixes:
+            preds = self._pred_cols(k)
+            for j, s in enumerate(self.slots):
+                at = f"p{k}s{j}_"
+                aggs += strict_rmse_aggs(F.col(self.rating), preds[f"pred__{j}"], prefix=at)
+                lam = (F.lit(None).cast("double") if s is None else
+                       F.col(s).cast("double") if isinstance(s, str) else F.lit(float(s)))
+                structs.append(F.struct(F.lit(k).alias("upto"), F.lit(j).alias("slot"), lam.alias("lambda"), F.col(f"{at}rmse").alias("rmse"),
+                                        F.col(f"{at}n").alias("n"), F.col(f"{at}n_unscored").alias("n_unscored")))
         g = t.groupBy(*self.by).agg(*aggs)
         if self.lambda_table is not None:
             g = g.crossJoin(F.broadcast(self.lambda_table))
-        structs = []
-        for j, s in enumerate(self.slots):
-            lam = (F.lit(None).cast("double") if s is None else
-                   F.col(s).cast("double") if isinstance(s, str) else F.lit(float(s)))
-            structs.append(F.struct(F.lit(j).alias("slot"), lam.alias("lambda"),
-                                    F.col(f"s{j}_rmse").alias("rmse"), F.col(f"s{j}_n").alias("n"),
-                                    F.col(f"s{j}_n_unscored").alias("n_unscored")))
         return g.select(*self.by, F.inline(F.array(*structs)))
 
 
@@ -239,35 +244,68 @@ def fit_effects(train: DataFrame, effects: Sequence[Effect], lambdas=None,
 
 
 def _fit_later(model: EffectModel, base: DataFrame | None, keep) -> None:
-    """Fit effects 1.. of ``model`` on ``base`` (rows joined to mu and effect 0)."""
-    effects, by, L = model.effects, model.by, len(model.slots)
-    for idx in range(1, len(effects)):
-        e = effects[idx]
-        t = base
-        for m in range(1, idx):
-            em = effects[m]
-            t = keyed_join(t, model.tables[m], [*by, em.key], "left",
-                           null_safe=[em.key] if em.null_safe else [])
-        aggs = [F.count(F.lit(1)).alias("__n")]
-        for j in range(L):
-            r = F.col(model.rating) - F.col("mu")
-            for m in range(idx):
-                r = r - model.value(m, j)
-            aggs.append(_strict_sum(r).alias(f"__s{j}"))
-        agg = t.groupBy(*by, e.key).agg(*aggs)
+    """Fit effects 1.. of ``model`` on ``base`` (rows joined to mu and effect 0).
+
+    The second effect is one aggregate of ``base``. Its table is joined to the
+    rows once; one aggregate by ``GROUPING SETS`` then sums what is left of the
+    rating by the key of every later effect, and another one, without a join,
+    counts the rows of every pair of later keys. The later effects are taken
+    off each other on those small tables:
+    S'(b) = S(b) - sum over a of n(a, b) * effect(a).
+    """
+    effects, by, slots = model.effects, list(model.by), range(len(model.slots))
+    if len(effects) < 2:
+        return
+
+    def left_of(idx, j):
+        r = F.col(model.rating) - F.col("mu")
+        for m in range(idx):
+            r = r - model.value(m, j)
+        return r
+
+    def shrunk(sums: DataFrame, e: Effect) -> DataFrame:
+        """The effect table of ``e`` from its sums ``__s{j}`` and counts ``__n``."""
         if model.lambda_table is not None:
-            agg = agg.crossJoin(F.broadcast(model.lambda_table))
-        vals = []
-        for j in range(L):
-            sj, n = F.col(f"__s{j}"), F.col("__n")
+            sums = sums.crossJoin(F.broadcast(model.lambda_table))
+        vals, n = [], F.col("__n")
+        for j in slots:
+            s = F.col(f"__s{j}")
             if model.slots[j] is None:
-                v = sj / n
+                v = s / n
             elif e.stat == "mean":
-                v = (sj / n) / (n + model._lam(j))
+                v = (s / n) / (n + model._lam(j))
             else:
-                v = sj / (n + model._lam(j))
+                v = s / (n + model._lam(j))
             vals.append(v.alias(f"{e.name}__{j}"))
-        model.tables.append(keep(agg.select(*by, e.key, *vals), e.name))
+        return keep(sums.select(*by, e.key, *vals), e.name)
+
+    second, later = effects[1], effects[2:]
+    sums = base.groupBy(*by, second.key).agg(F.count(F.lit(1)).alias("__n"), *[_strict_sum(left_of(1, j)).alias(f"__s{j}") for j in slots])
+    model.tables.append(shrunk(sums, second))
+    if not later:
+        return
+    keys = [e.key for e in later]
+    known = keyed_join(base, model.tables[1], [*by, second.key], "left", null_safe=[second.key] if second.null_safe else [])
+    known = known.select(*by, *keys, *[left_of(2, j).alias(f"__r{j}") for j in slots])
+    marginal = known.groupingSets([[*by, k] for k in keys], *by, *keys).agg(
+        F.grouping_id().alias("__g"), F.count(F.lit(1)).alias("__n"), *[_strict_sum(F.col(f"__r{j}")).alias(f"__s{j}") for j in slots])
+    marginal = keep(marginal, "marginals")
+    pairs = None
+    if len(later) > 1:
+        pairs = keep(base.groupingSets([[*by, a, b] for a, b in combinations(keys, 2)], *by, *keys)
+                     .agg(F.grouping_id().alias("__g"), F.count(F.lit(1)).alias("__w")), "pairs")
+    # grouping_id has a bit for each of (by..., keys...) that is not grouped by
+    grouped = lambda *own: sum(1 << (len(keys) - 1 - m) for m in range(len(keys)) if m not in own)
+    for i, e in enumerate(later):
+        t = marginal.filter(F.col("__g") == grouped(i)).select(*by, e.key, "__n", *[f"__s{j}" for j in slots])
+        for m in range(i):
+            p = later[m]
+            w = keyed_join(pairs.filter(F.col("__g") == grouped(m, i)).select(*by, p.key, e.key, "__w"), model.tables[2 + m], [*by, p.key],
+                           "left", null_safe=[p.key] if p.null_safe else [])
+            off = w.groupBy(*by, e.key).agg(*[_strict_sum(F.col("__w") * F.col(f"{p.name}__{j}")).alias(f"__o{j}") for j in slots])
+            t = keyed_join(t, off, [*by, e.key], "left", null_safe=[e.key])
+            t = t.select(*by, e.key, "__n", *[(F.col(f"__s{j}") - F.col(f"__o{j}")).alias(f"__s{j}") for j in slots])
+        model.tables.append(shrunk(t, e))
 
 
 class ChunkedEffectModel:

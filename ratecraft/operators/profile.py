@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratecraft.functions.features import split_genres
-from ratecraft.functions.stats import n_distinct
 from ratecraft.operators.joins import keyed_join
+from ratecraft.operators.quantiles import column_quantiles, usable
+from ratecraft.sources.io import literal_table
 
 
 def count_by(df: DataFrame, keys: Sequence[str] | str, name: str = "count") -> DataFrame:
@@ -24,8 +25,31 @@ def mean_by(df: DataFrame, keys: Sequence[str] | str, value: str = "rating", nam
 
 
 def distinct_counts(df: DataFrame, cols: dict[str, str]) -> DataFrame:
-    """One row of exact distinct counts, null counted as a value; ``cols`` maps output -> column."""
-    return df.agg(*[n_distinct(c).alias(out) for out, c in cols.items()])
+    """One row of exact distinct counts, null counted as a value; ``cols`` maps output -> column.
+
+    Each column is reduced to its distinct values by an aggregate of its own
+    (a scan of that column alone, with map-side combine), so no row is
+    expanded once a column.
+    """
+    out = None
+    for name, c in cols.items():
+        one = df.select(c).distinct().agg(F.count(F.lit(1)).alias(name))
+        out = one if out is None else out.crossJoin(F.broadcast(one))
+    return out
+
+
+def distinct_int_count(df: DataFrame, col: str, name: str) -> DataFrame:
+    """One row with the exact number of distinct values of a whole-number column, null counted as a value.
+
+    The ids are bits of bitmaps, one of 32,768 ids each: a task sends one
+    bitmap for a stretch of ids instead of a row for an id. Meant for ids that
+    are numbered densely (sparse ones cost a bitmap each).
+    """
+    id_ = F.col(col).cast("long")
+    maps = (df.select(id_.alias("__id")).groupBy(F.bitmap_bucket_number("__id").alias("__b"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("__id")).alias("__m"), F.max(F.col("__id").isNull().cast("int")).alias("__null")))
+    # the null id has a bucket of its own, without bits
+    return maps.agg(F.coalesce(F.sum(F.when(F.col("__b").isNotNull(), F.bitmap_count("__m"))) + F.max("__null"), F.lit(0)).alias(name))
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
@@ -51,26 +75,27 @@ def genre_counts_direct(df: DataFrame, genres: str = "genres") -> DataFrame:
             .groupBy("genre").agg(F.count(F.lit(1)).alias("count_ratings")))
 
 
-def column_summary(df: DataFrame, cols: Sequence[str], exact: Sequence[str] = (), accuracy: int = 100_000) -> DataFrame:
+def column_summary(df: DataFrame, cols: Sequence[str], by: str | None = None) -> DataFrame:
     """min, quartiles, mean, max and null count per numeric or date column (long form, dates in days).
 
-    One pass over the data computes every column. For the columns in
-    ``exact`` (with few values: ratings, years, months) quartiles interpolate
-    between the two values around them, by ``percentile``, which holds a
-    value -> count map. All others use ``percentile_approx``'s sketch of
-    bounded size: a value of the column whose rank is off by 1 / ``accuracy``
-    of the rows at most.
+    Quartiles are exact and interpolated for every column, by histograms that
+    are refined around the wanted ranks (``quantiles.column_quantiles``). With
+    ``by`` (a column of few values) all its groups are summarised in the same
+    passes. NaN counts as missing.
     """
     kinds = dict(df.dtypes)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = (F.unix_date(F.col(c).cast("date")) if kinds[c] in ("date", "timestamp", "timestamp_ntz") else F.col(c)).cast("double")
-        q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if c in exact
-             else F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy).cast("array<double>"))
-        aggs.append(F.struct(F.lit(c).alias("column"), F.min(x).alias("min"), F.get(q, 0).alias("q1"), F.get(q, 1).alias("median"),
-                             F.avg(x).alias("mean"), F.get(q, 2).alias("q3"), F.max(x).alias("max"),
-                             F.count_if(F.col(c).isNull()).alias("n_na")))
-    return df.agg(F.array(*aggs).alias("s")).select(F.inline("s"))
+    dates = ("date", "timestamp", "timestamp_ntz")
+    x = {c: usable(F.unix_date(F.col(c).cast("date")) if kinds[c] in dates else F.col(c)) for c in cols}
+    group = F.col(by) if by else F.lit(None).cast("string")
+    aggs = [F.struct(F.lit(c).alias("column"), F.min(x[c]).alias("min"), F.avg(x[c]).alias("mean"), F.max(x[c]).alias("max"),
+                     F.count_if(x[c].isNull()).alias("n_na")) for c in cols]
+    plain = df.groupBy(group.alias("__by")).agg(F.array(*aggs).alias("s")).select("__by", F.inline("s"))
+    quartiles = column_quantiles(df, x, (0.25, 0.5, 0.75), by)
+    # one row a column and group
+    found = literal_table(df.sparkSession, [(g, c, *(q[p] for p in (0.25, 0.5, 0.75))) for (g, c), q in quartiles.items()],
+                          f"__by {kinds[by] if by else 'string'}, column string, q1 double, median double, q3 double")
+    out = keyed_join(plain, found, ["__by", "column"], "left", null_safe=["__by"])
+    return out.select(*([F.col("__by").alias(by)] if by else []), "column", "min", "q1", "median", "mean", "q3", "max", "n_na")
 
 
 def pattern_coverage(df: DataFrame, col: str, pattern: str) -> DataFrame:

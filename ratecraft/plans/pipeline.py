@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ratecraft.functions.features import from_epoch_seconds, release_year, round_to_period
 from ratecraft.operators.prepare import correct_ids, drop_ids
 from ratecraft.operators.split import KEEP, flag_fold_guard
-from ratecraft.session import materialize
+from ratecraft.session import fingerprint, materialize
 from ratecraft.sources import fixtures
 
 _CACHE: dict = {}
@@ -48,14 +48,14 @@ class Pipeline:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, dirty: bool = False) -> "Pipeline":
-        files = [f for t in ("lineitem", "orders", "part") for f in spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").inputFiles()]
+        mark = fingerprint(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders", "part")])
         key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), dirty)
-        if key not in _CACHE or _CACHE[key][0] != files:    # other files: built anew
-            _CACHE[key] = files, cls(spark, sf_dir, dirty)
-        return _CACHE[key][1]
+        if key not in _CACHE or _CACHE[key].fingerprint != mark:    # other files, or the same written anew
+            _CACHE[key] = cls(spark, sf_dir, dirty, mark)
+        return _CACHE[key]
 
-    def __init__(self, spark: SparkSession, sf_dir: str, dirty: bool = False):
-        self.spark, self.sf_dir, self.dirty = spark, sf_dir, dirty
+    def __init__(self, spark: SparkSession, sf_dir: str, dirty: bool = False, mark: str = ""):
+        self.spark, self.sf_dir, self.dirty, self.fingerprint = spark, sf_dir, dirty, mark
         self.models: dict = {}   # fitted models shared by the queries of a session
 
     @cached_property
@@ -96,6 +96,14 @@ class Pipeline:
         part = F.when(F.col("held"), "validation").when(F.col(KEEP), "tune").otherwise("fit")
         return materialize(inner.withColumn("part", part).drop("held", "__fold", KEEP), "rated", rebalance=True)
 
+    def narrow(self, *parts: str) -> DataFrame:
+        """Rows of ``parts`` without titles, genres and years: a scan of the fact table, no join."""
+        return self.rated.filter(F.col("part").isin(*parts)).select("user_id", "item_id", "rating", "ts", "bucket", "rating_date")
+
+    @cached_property
+    def known_narrow(self) -> DataFrame:
+        return self.narrow("fit", "tune")
+
     def _rows(self, *parts: str) -> DataFrame:
         facts = self.item_facts.select("raw_id", "title", "genres", "release_year")
         return (self.rated.filter(F.col("part").isin(*parts)).join(facts, "raw_id", "left")
@@ -151,7 +159,8 @@ class Pipeline:
         size = upto if upto < 2 else 5
         if ("plain", size) not in self.models:
             from ratecraft.operators.effects import fit_effects, standard_effects
-            self.models["plain", size] = fit_effects(self.fit_rows, standard_effects(upto=size), None)
+            rows = self.fit_rows if size > 1 else self.narrow("fit")
+            self.models["plain", size] = fit_effects(rows, standard_effects(upto=size), None)
         return self.models["plain", size]
 
     def reg_model(self, lam: float):

@@ -41,7 +41,7 @@ def P(spark, sf):
 @query("hist_ratings", W(hist_sql("known", "rating", 10), ["known"]))
 def hist_ratings(spark, sf):
     """Ratings in 10 bins."""
-    return _hist_out(histogram(P(spark, sf).known, "rating", 10))
+    return _hist_out(histogram(P(spark, sf).known_narrow, "rating", 10))
 
 
 def _per_key_hist(name, key, value_sql, bins, log10=False):
@@ -49,7 +49,7 @@ def _per_key_hist(name, key, value_sql, bins, log10=False):
     x = "log10(v)" if log10 else "v"
 
     def fn(spark, sf):
-        e = P(spark, sf).known
+        e = P(spark, sf).known if key == "genres" else P(spark, sf).known_narrow
         per = (e.groupBy(key).agg(F.count(F.lit(1)).alias("v")) if log10
                else e.groupBy(key).agg(F.avg("rating").alias("v")))
         return _hist_out(histogram(per, "v", bins, log10=log10))
@@ -102,7 +102,7 @@ FROM ix x JOIN ix y ON abs(x.week - y.week) <= {7 * TREND_K} GROUP BY x.week, x.
     [("ix", f"SELECT {ob.round_period_sql(ob.ts_of_epoch('ts'), 'week')} AS week, avg(rating) AS a FROM known GROUP BY 1", ["known"])]))
 def trend_week(spark, sf):
     """Weekly mean rating with a centred 5-week moving average."""
-    e = P(spark, sf).known.withColumn("week", round_to_period(from_epoch_seconds("ts"), "week"))
+    e = P(spark, sf).known_narrow.withColumn("week", round_to_period(from_epoch_seconds("ts"), "week"))
     m = pr.mean_by(e, "week", name="period_mean").withColumn("idx", F.floor((F.unix_date("week") + 4) / 7))
     t = period_trend(m, "idx", "period_mean", TREND_K)
     return t.select("week", _r6("period_mean").alias("period_mean"), _r6("trend").alias("trend"))
@@ -114,7 +114,7 @@ FROM ix x JOIN ix y ON abs(x.idx - y.idx) <= {TREND_K} GROUP BY x.rating_date, x
 FROM known GROUP BY rating_date""", ["known"])]))
 def trend_month(spark, sf):
     """Monthly mean rating with a centred 5-month moving average."""
-    m = pr.mean_by(P(spark, sf).known, "rating_date", name="period_mean")
+    m = pr.mean_by(P(spark, sf).known_narrow, "rating_date", name="period_mean")
     m = m.withColumn("idx", F.year("rating_date") * 12 + F.month("rating_date"))
     t = period_trend(m, "idx", "period_mean", TREND_K)
     return t.select("rating_date", _r6("period_mean").alias("period_mean"), _r6("trend").alias("trend"))

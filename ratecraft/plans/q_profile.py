@@ -13,6 +13,7 @@ from ratecraft.operators.prepare import correct_ids
 from ratecraft.plans import oracle_base as ob
 from ratecraft.plans.pipeline import Pipeline
 from ratecraft.plans.registry import query
+from ratecraft.session import materialize
 from ratecraft.sources.fixtures import load_events
 
 W = ob.with_ctes
@@ -91,17 +92,17 @@ def id_correction(spark, sf):
 # --- counts and means ---------------------------------------------------------
 @query("rating_distribution", W("SELECT rating, count(*) AS count FROM known GROUP BY rating", ["known"]))
 def rating_distribution(spark, sf):
-    return pr.count_by(P(spark, sf).known, "rating")
+    return pr.count_by(P(spark, sf).known_narrow, "rating")
 
 
 @query("ratings_per_item", W("SELECT item_id, count(*) AS n FROM known GROUP BY item_id", ["known"]))
 def ratings_per_item(spark, sf):
-    return pr.count_by(P(spark, sf).known, "item_id", "n")
+    return pr.count_by(P(spark, sf).known_narrow, "item_id", "n")
 
 
 @query("ratings_per_user", W("SELECT user_id, count(*) AS n FROM known GROUP BY user_id", ["known"]))
 def ratings_per_user(spark, sf):
-    return pr.count_by(P(spark, sf).known, "user_id", "n")
+    return pr.count_by(P(spark, sf).known_narrow, "user_id", "n")
 
 
 def _rated(desc: bool):
@@ -133,12 +134,21 @@ _ND_SQL = ("SELECT '{s}' AS stage, " + ", ".join(f"{_nd(c)} AS {o}" for o, c in
 @query("distinct_counts", W(_ND_SQL.format(s="before", t="known_raw") + "\nUNION ALL\n"
                             + _ND_SQL.format(s="after", t="known"), ["known_raw", "known"]))
 def distinct_counts(spark, sf):
-    """Distinct items, titles, users and genre strings before and after the id fix."""
+    """Distinct items, titles, users and genre strings before and after the id fix.
+
+    Rows give two id columns, counted by bitmaps; titles and genres belong to
+    items, so they are counted among the facts of the items that occur.
+    """
     p = P(spark, sf)
-    cols = {"n_items": "item_id", "n_titles": "title", "n_users": "user_id", "n_genres": "genres"}
-    before = pr.distinct_counts(p.known_raw, cols).select(F.lit("before").alias("stage"), *cols)
-    after = pr.distinct_counts(p.known, cols).select(F.lit("after").alias("stage"), *cols)
-    return before.unionByName(after)
+    rows = p.rated.filter("part <> 'validation'")
+    users = pr.distinct_int_count(rows, "user_id", "n_users")
+    seen = materialize(rows.select("raw_id").distinct().join(p.item_facts, "raw_id", "left"), "items-seen")
+    parts = []
+    for stage, item, genres in (("before", F.col("raw_id"), F.col("raw_genres")), ("after", F.coalesce("item_id", "raw_id"), F.col("genres"))):
+        facts = seen.select(item.alias("item_id"), "title", genres.alias("genres"))
+        counts = pr.distinct_counts(facts, {"n_items": "item_id", "n_titles": "title", "n_genres": "genres"})
+        parts.append(counts.crossJoin(F.broadcast(users)).select(F.lit(stage).alias("stage"), "n_items", "n_titles", "n_users", "n_genres"))
+    return parts[0].unionByName(parts[1])
 
 
 def _mean_q(key, name, sql_key=None):
@@ -147,20 +157,20 @@ def _mean_q(key, name, sql_key=None):
 
 
 query("mean_per_item", _mean_q("item_id", "mean"))(
-    lambda spark, sf: pr.mean_by(P(spark, sf).known, "item_id").withColumn("mean", _r6("mean")))
+    lambda spark, sf: pr.mean_by(P(spark, sf).known_narrow, "item_id").withColumn("mean", _r6("mean")))
 query("mean_per_user", _mean_q("user_id", "mean"))(
-    lambda spark, sf: pr.mean_by(P(spark, sf).known, "user_id").withColumn("mean", _r6("mean")))
+    lambda spark, sf: pr.mean_by(P(spark, sf).known_narrow, "user_id").withColumn("mean", _r6("mean")))
 query("mean_per_genre_combo", _mean_q("genres", "mean"))(
     lambda spark, sf: pr.mean_by(P(spark, sf).known, "genres").withColumn("mean", _r6("mean")))
 query("mean_per_year", _mean_q("release_year", "year_mean"))(
     lambda spark, sf: pr.mean_by(P(spark, sf).known, "release_year", name="year_mean")
     .withColumn("year_mean", _r6("year_mean")))
 query("mean_per_month", _mean_q("rating_date", "period_mean"))(
-    lambda spark, sf: pr.mean_by(P(spark, sf).known, "rating_date", name="period_mean")
+    lambda spark, sf: pr.mean_by(P(spark, sf).known_narrow, "rating_date", name="period_mean")
     .withColumn("period_mean", _r6("period_mean")))
 query("mean_per_week", _mean_q("rating_date", "period_mean", ob.round_period_sql(ob.ts_of_epoch("ts"), "week")))(
     lambda spark, sf: pr.mean_by(
-        P(spark, sf).known.withColumn("rating_date", round_to_period(from_epoch_seconds("ts"), "week")),
+        P(spark, sf).known_narrow.withColumn("rating_date", round_to_period(from_epoch_seconds("ts"), "week")),
         "rating_date", name="period_mean").withColumn("period_mean", _r6("period_mean")))
 
 
@@ -207,14 +217,11 @@ def genre_counts_direct(spark, sf):
     return pr.genre_counts_direct(P(spark, sf).known)
 
 
-_FEW_VALUES = ("rating", "release_year", "rating_date")
-
-
 def _summary_sql(c, t):
-    q = "quantile_cont" if c in _FEW_VALUES else "quantile_disc"
     x = f"CAST({c} - DATE '1970-01-01' AS DOUBLE)" if c == "rating_date" else f"CAST({c} AS DOUBLE)"
-    return (f"SELECT '{t}' AS dataset, '{c}' AS \"column\", min({x}) AS min, {q}({x}, 0.25) AS q1, "
-            f"{q}({x}, 0.5) AS median, round(avg({x}), 6) AS mean, {q}({x}, 0.75) AS q3, "
+    q = lambda p: f"quantile_cont({x}, {p})"
+    return (f"SELECT '{t}' AS dataset, '{c}' AS \"column\", min({x}) AS min, {q(0.25)} AS q1, "
+            f"{q(0.5)} AS median, round(avg({x}), 6) AS mean, {q(0.75)} AS q3, "
             f"max({x}) AS max, count(*) - count({c}) AS n_na FROM {t}")
 
 
@@ -226,9 +233,8 @@ _SUMMARY_COLS = ["user_id", "item_id", "rating", "ts", "release_year", "rating_d
 def column_summary(spark, sf):
     """Quartiles, mean, range and nulls of every numeric and date column of both sets (dates in days)."""
     p = P(spark, sf)
-    parts = [pr.column_summary(df, _SUMMARY_COLS, exact=_FEW_VALUES).select(F.lit(n).alias("dataset"), "*")
-             for n, df in (("known", p.known), ("validation", p.validation))]
-    return parts[0].unionByName(parts[1]).withColumn("mean", _r6("mean"))
+    both = p.known.withColumn("dataset", F.lit("known")).unionByName(p.validation.withColumn("dataset", F.lit("validation")))
+    return pr.column_summary(both, _SUMMARY_COLS, by="dataset").withColumn("mean", _r6("mean"))
 
 
 @query("pattern_coverage", W(r"""SELECT count(*) AS n_rows,
@@ -276,7 +282,7 @@ def main_genre(spark, sf):
 @query("rating_datetime", W(f"SELECT user_id, item_id, ts, {ob.ts_of_epoch('ts')} AS rating_datetime FROM known", ["known"]))
 def rating_datetime(spark, sf):
     """Epoch seconds as a UTC date-time."""
-    return P(spark, sf).known.select("user_id", "item_id", "ts", from_epoch_seconds("ts").alias("rating_datetime"))
+    return P(spark, sf).known_narrow.select("user_id", "item_id", "ts", from_epoch_seconds("ts").alias("rating_datetime"))
 
 
 # --- first rows by a column -----------------------------------------------------

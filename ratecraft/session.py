@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -95,3 +96,36 @@ def materialize(df, name: str, rebalance: bool = False):
     path = scratch_path(spark, name)
     (df.hint("rebalance") if rebalance else df).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def kept_table(spark: SparkSession, key: str, build):
+    """The table that ``build()`` gives, kept under ``key`` for every session that shares the checkpoint folder.
+
+    ``key`` must name all that the table follows from (input files, parameters).
+    The table is written beside its place and moved there whole, so a reader
+    never meets half of it. Where ``spark.checkpoint.dir`` is not set, the
+    folder and so the table last as long as the session.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or checkpoint_dir(spark)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(f"{root.rstrip('/')}/ratecraft-tables/{hashlib.md5(key.encode()).hexdigest()}")
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        own = scratch_path(spark, "kept")
+        build().write.mode("overwrite").parquet(own)
+        files.mkdirs(place.getParent())
+        if not files.rename(hadoop.Path(own), place):
+            return spark.read.parquet(place.toString() if files.exists(place) else own)     # another session was first, or no move is possible
+    return spark.read.parquet(place.toString())
+
+
+def fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """A short text that changes when files under ``paths`` are added, removed or written anew."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    marks = []
+    for path in paths:
+        place = hadoop.Path(path)
+        files = place.getFileSystem(conf)
+        status, size = files.getFileStatus(place), files.getContentSummary(place)
+        marks.append((status.getPath().toString(), status.getModificationTime(), size.getLength(), size.getFileCount()))
+    return hashlib.md5(repr(marks).encode()).hexdigest()

@@ -146,3 +146,73 @@ def test_hot_item_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def _direct(rows, keys, stats, lam):
+    """Effects fitted the plain way, row by row (null keys are a group of their own)."""
+    mu = sum(r["rating"] for r in rows) / len(rows)
+    left, out = [r["rating"] - mu for r in rows], []
+    for key, stat in zip(keys, stats):
+        groups = {}
+        for r, x in zip(rows, left):
+            groups.setdefault(r[key], []).append(x)
+        eff = {k: (sum(v) / len(v) if stat == "mean" or lam is None else sum(v)) / (1 if lam is None else len(v) + lam) for k, v in groups.items()}
+        left = [x - eff[r[key]] for r, x in zip(rows, left)]
+        out.append(eff)
+    return mu, out
+
+
+@pytest.mark.parametrize("lam", [None, 0.0, 3.5])
+@pytest.mark.parametrize("n_later", [0, 1, 2, 4])
+def test_marginal_fit_equals_the_direct_fit(spark, lam, n_later):
+    import random
+    rng = random.Random(n_later)
+    keys = ["item", "user"] + [f"k{i}" for i in range(n_later)]
+    rows = [dict(zip(keys, [rng.randrange(12), rng.randrange(20)] + [rng.choice([None, 0, 1, 2, 3]) for _ in range(n_later)]), rating=rng.randrange(1, 11) / 2)
+            for _ in range(400)]
+    df = spark.createDataFrame([tuple(r[c] for c in (*keys, "rating")) for r in rows], ", ".join(f"{k} int" for k in keys) + ", rating double")
+    effects = [Effect(f"e{i}", k, stat="mean" if i == 4 else "sum", null_safe=i > 1) for i, k in enumerate(keys)]
+    model = fit_effects(df, effects, lam)
+    _, want = _direct(rows, keys, [e.stat for e in effects], lam)
+    for i, e in enumerate(effects):
+        got = {r[e.key]: r[e.name] for r in model.effect_table(i).collect()}
+        assert got.keys() == want[i].keys() and all(math.isclose(got[k], want[i][k], abs_tol=1e-9) for k in got)
+
+
+def test_marginal_fit_by_group_equals_separate_fits(spark, pipe):
+    df = pipe.fit_rows.withColumn("h", F.col("bucket") % 2)
+    both = fit_effects(df, standard_effects(), 2.0, by=["h"])
+    for h in (0, 1):
+        one = fit_effects(df.filter(F.col("h") == h), standard_effects(), 2.0)
+        for i in range(5):
+            e = one.effects[i]
+            a = {r[e.key]: r[e.name] for r in both.effect_table(i).filter(F.col("h") == h).collect()}
+            b = {r[e.key]: r[e.name] for r in one.effect_table(i).collect()}
+            assert a.keys() == b.keys() and all(math.isclose(a[k], b[k], abs_tol=1e-9) for k in a)
+
+
+def test_null_rating_spreads_as_it_does_row_by_row(spark):
+    """A null rating makes mu and with it every effect null; with drop_null it is left out."""
+    rows = [(1, 1, 1, 2.0), (1, 2, 1, 4.0), (2, 1, None, 3.0), (2, 2, 2, None)]
+    df = spark.createDataFrame(rows, "item_id int, user_id int, release_year int, rating double")
+    effects = standard_effects()[:3]
+    strict = fit_effects(df, effects, 1.0)
+    assert all(v is None for i in range(3) for v in _tab(strict, i).values())
+    loose = fit_effects(df, effects, 1.0, drop_null=True)
+    assert all(v is not None for i in range(3) for v in _tab(loose, i).values())
+
+
+def test_prefix_scores_equal_single_scores(pipe):
+    model = fit_effects(pipe.fit_rows, standard_effects(), None)
+    rows = {r.upto: r for r in model.rmse_prefixes(pipe.tune_rows).collect()}
+    assert sorted(rows) == list(range(6))
+    for k in range(6):
+        one = model.rmse(pipe.tune_rows, k).first()
+        assert math.isclose(rows[k].rmse, one.rmse, rel_tol=1e-12) and (rows[k].n, rows[k].n_unscored) == (one.n, one.n_unscored)
+
+
+def test_narrow_queries_have_no_join(spark):
+    import __spark_entry__ as E
+    for name in ("rating_distribution", "ratings_per_user", "ratings_per_item", "mean_per_month", "mean_per_user", "rating_datetime", "hist_ratings"):
+        plan = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join LeftOuter" not in plan, name
