@@ -40,6 +40,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def aside(docs: DataFrame, *needed: str):
+    """(``docs`` with every column but ``needed`` under a name of its own, a function that gives a frame the columns back).
+
+    Operators that filter or repeat rows work on such a frame, so no column of
+    the input can clash with those that they add.
+    """
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    names = {c: c if c in needed else f"__in_{i}" for i, c in enumerate(docs.columns)}
+    return (docs.select(*[quoted(c).alias(n) for c, n in names.items()]),
+            lambda out: out.select(*[F.col(n).alias(c) for c, n in names.items()]))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """SplitMix64 finaliser over an unsigned 64-bit array (wraps by design)."""
     with np.errstate(over="ignore"):
@@ -117,6 +129,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     each node points at its root. Each round is written to the shared folder,
     so a lost executor costs one round at most and no link reaches the driver.
     """
+    ship(edges.sparkSession)
     e = edges.select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v")) \
         .filter("u != v")
     e = materialize(e.mapInArrow(_union_partition, "u long, v long").distinct(), f"cc-{name}")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratecraft.llm.common import table
+from ratecraft.llm.common import aside, ship, table
 from ratecraft.session import materialize
 
 WINDOW = 10
@@ -143,6 +143,7 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     replaced.
     """
     spark = docs.sparkSession
+    ship(spark)
     items = (benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
              .filter("text is not null").distinct())
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + F.lit(16)), F.lit(0))).first()[0]
@@ -188,9 +189,9 @@ def hit_words() -> F.Column:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` in which no window of the benchmark occurs."""
-    return scan_documents(docs, benchmark, **options).filter(F.size("hits") == 0).select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in ("n_words", "hits", "items")])
+    """Rows of ``docs``, all their columns as they are, in which no window of the benchmark occurs."""
+    rows, back = aside(docs, "text")
+    return back(scan_documents(rows, benchmark, **options).filter(F.size("hits") == 0))
 
 
 def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import table
+from ratecraft.llm.common import aside, table
 from ratecraft.session import materialize
 
 WEIGHTS = (1, 2, 3)
@@ -80,19 +80,19 @@ def plan_mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int
     docs = docs.drop("size", "source_size", "target", "rate", "copies", "taken")
     sized = docs.withColumn("size", word_count())
     targets = materialize(source_targets(sized.select("source", "size"), weights, max_repeat), "mix-targets")
-    right = targets.select(F.col("source").alias("_source"), "source_size", "target", "rate")
+    right = targets.select(F.col("source").alias("__target_source"), "source_size", "target", "rate")
     whole = F.floor("rate")
     extra = (unit_hash(F.col("doc_id"), seed) < F.col("rate") - whole).cast("long")
-    return (sized.join(right, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+    return (sized.join(right, F.col("source").eqNullSafe(F.col("__target_source")), "left").drop("__target_source")
             .withColumn("copies", whole + extra)
             .withColumn("taken", F.col("copies") * F.col("size")))
 
 
 def emit_mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed documents: each row of ``docs`` as often as the mix takes it."""
-    return (plan_mix(docs, **options).filter("copies > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    """The mixed documents: each row of ``docs``, all its columns as they are, as often as the mix takes it."""
+    rows, back = aside(docs, "doc_id", "text", "source")
+    return back(plan_mix(rows, **options).filter("copies > 0")
+                .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))))
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
