@@ -8,13 +8,15 @@ a linear layer with softmax gives its class. A text's logit is that of its
 worst passage, so a few words decide in a text of any length (the mean over a
 whole text of thousands of words would hide them).
 
-Training (numpy, on the driver) uses a bounded sample of labelled rows,
-``MAX_ROWS`` of each label by a hash of the id, and ``MAX_PASSAGES`` of each. Embeddings and the linear
-layer are trained jointly by Adam on the cross-entropy. The labels mark whole
-texts, so it alternates: first every passage carries its text's label, then a
-toxic text is held by the passages that the current model finds worst, while
-all passages of clean texts stay clean. A logistic fit of the text logit on
-the sample (Platt) gives the score.
+Training (numpy, on the driver) uses a bounded sample of labelled rows, whole
+texts: at most ``MAX_ROWS`` of each label by a hash of the id, as far as they
+fit into ``MAX_BYTES`` together (a labelled text above ``MAX_TEXT`` bytes is not
+sampled). Embeddings and the linear layer are trained jointly by Adam on the
+cross-entropy of all passages. The labels mark whole texts, so it alternates:
+first every passage carries its text's label, then a toxic text is held by the
+passages that the current model finds worst, while all passages of clean texts
+stay clean. A logistic fit of the text logit (Platt) over a part of the sample
+that no step has trained on gives the score.
 
 Because the last layer is linear, a word's vector matters to the score only by
 two numbers; workers keep them per word in a bounded cache. The model that is
@@ -35,11 +37,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratecraft.llm.common import ship, table, text_parts
+from ratecraft.llm.common import aside, ship, table, text_parts
 from ratecraft.llm.wordgrams import code_points, rolling, slices
 
 ORDERS = (3, 4, 5)
@@ -47,7 +49,8 @@ BUCKETS = 1 << 17
 DIM = 4
 WINDOW = 2
 MAX_ROWS = 1500             # labelled rows of each class that training may use
-MAX_PASSAGES = 300          # passages that training takes from one text, spread evenly
+MAX_BYTES = 12 << 20        # of their texts, for each class
+MAX_TEXT = 2 << 20          # of one of them
 EPOCHS = (30, 30, 30)       # Adam steps before each re-attribution of the toxic texts' labels
 DECAY = 0.02
 HARD = 4.0                  # extra weight of a clean passage that the model gets wrong
@@ -55,7 +58,7 @@ HARD_WORD = 20.0            # extra weight of a clean word that is not clearly c
 ALONE = 0.5                 # weight of the clean words as passages of their own
 CALIBRATE = 0.2             # share of the training rows that fits the score
 CACHE_WORDS = 250_000
-LONG_WORD = 100_000         # letters of a word that are looked at together
+LONG_WORD = 100_000         # characters of a token that are one word; a longer token is read as several
 HOLD_OUT = 5
 _CLEAN = re.compile(r"[\W\d_]+")
 
@@ -65,6 +68,14 @@ def letters_of(token: str) -> str:
     return token.lower() if token.isalpha() else _CLEAN.sub("", token.lower())
 
 
+def tokens_of(text: str | None) -> list[str]:
+    """White-space tokens of a whole text; one longer than ``LONG_WORD`` in pieces of that length."""
+    tokens = (text or "").split()
+    if text and len(text) > LONG_WORD and max(map(len, tokens), default=0) > LONG_WORD:
+        return [t[i:i + LONG_WORD] for t in tokens for i in range(0, len(t), LONG_WORD)]
+    return tokens
+
+
 def word_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(bucket of every n-gram, start of each word's n-grams (n + 1)); a word without letters has none."""
     parts, counts = [], []
@@ -110,11 +121,6 @@ class Model:
         """Mean n-gram weight of each word; worked off in slices so that memory stays bounded."""
         out = np.zeros(len(words))
         for lo, hi in slices([len(w) for w in words]):
-            if hi - lo == 1 and len(words[lo]) > LONG_WORD:
-                w = words[lo]                # a run of letters without end counts as the mean of its pieces
-                cut = [w[i:i + LONG_WORD] for i in range(0, len(w), LONG_WORD)]
-                out[lo] = np.average([self.word_logits([c])[0] for c in cut], weights=[len(c) for c in cut])
-                continue
             gram, starts = word_buckets(words[lo:hi])
             out[lo:hi] = segment_mean(self.weight[gram], starts)
         return out
@@ -137,26 +143,25 @@ def train(texts: list[str | None], toxic: list[int], share: float | None = None,
         return Model(np.zeros(BUCKETS, np.float32), 0.0, 0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
     share = float(np.mean(y_doc)) if share is None else share
     vocabulary: dict[str, int] = {}
-    ids, doc_of, length, clean_words = [], [], [], []
+    words, first, last, n_passages = [], [], [], np.zeros(len(y_doc), np.int64)
     rng = np.random.default_rng(seed)
     kept = rng.random(len(y_doc)) >= CALIBRATE          # the rest calibrates the score
+    clean_type, at = [], 0
     for d, text in enumerate(texts):
-        w = np.array([vocabulary.setdefault(letters_of(t[:LONG_WORD]), len(vocabulary)) for t in (text or "").split()], np.int32)
+        w = np.array([vocabulary.setdefault(letters_of(t), len(vocabulary)) for t in tokens_of(text)], np.int32)
         if kept[d] and not y_doc[d]:
-            clean_words.append(np.unique(w))
+            clean_type.append(np.unique(w))
         a, b = passages(len(w))
-        if len(a) > MAX_PASSAGES:            # of a longer text, passages spread evenly
-            keep = np.linspace(0, len(a) - 1, MAX_PASSAGES).astype(np.int64)
-            a, b = a[keep], b[keep]
-        n = b - a
-        ids.append(w[np.arange(n.sum()) + np.repeat(a - (np.cumsum(n) - n), n)])
-        doc_of.append(np.full(len(a), d, np.int32))
-        length.append(n)
-    doc_of, length, word = (np.concatenate(x) for x in (doc_of, length, ids))
-    del ids
-    p_start = np.concatenate([[0], np.cumsum(length)])
-    p_of_word = np.repeat(np.arange(len(doc_of), dtype=np.int32), length)
-    n_in = np.maximum(length, 1)
+        words.append(w)
+        first.append((a + at).astype(np.int32))
+        last.append((b + at).astype(np.int32))
+        n_passages[d] = len(a)
+        at += len(w)
+    word, first, last = (np.concatenate(x) for x in (words, first, last))
+    del words
+    n_in = np.maximum(last - first, 1).astype(np.int32)
+    doc_of = np.repeat(np.arange(len(y_doc), dtype=np.int32), n_passages)
+    of_doc = np.concatenate([[0], np.cumsum(n_passages)[:-1]])          # a document's first passage
     types = list(vocabulary) or [""]
     gram, g_start = word_buckets(types)
     g_n = np.maximum(np.diff(g_start), 1)
@@ -173,8 +178,10 @@ def train(texts: list[str | None], toxic: list[int], share: float | None = None,
         return np.einsum("bd,d->b", emb, layer[:, 1] - layer[:, 0])
 
     def forward():
-        by_word = segment_mean(weights()[gram], g_start)
-        return by_word + (bias[1] - bias[0]), segment_mean(by_word[word], p_start) + (bias[1] - bias[0])
+        """Logit of every word type alone, and of every passage."""
+        by_type = segment_mean(weights()[gram], g_start)
+        upto = np.concatenate([[0.0], np.cumsum(by_type[word])])
+        return by_type + (bias[1] - bias[0]), (upto[last] - upto[first]) / n_in + (bias[1] - bias[0])
 
     def adam(name, x, grad, decay=0.0):
         m, v = moments[name]
@@ -186,8 +193,8 @@ def train(texts: list[str | None], toxic: list[int], share: float | None = None,
     y = y_doc[doc_of].astype(np.float64)
     # each word of the whole clean texts is also a clean passage of its own, so that no word can look toxic alone
     clean = np.zeros(len(types))
-    if clean_words:
-        clean[np.concatenate(clean_words)] = 1.0
+    if clean_type:
+        clean[np.concatenate(clean_type)] = 1.0
     alone = clean * (ALONE / max(clean.sum(), 1))
     use = kept[doc_of].astype(np.float64)
     for phase, n_steps in enumerate(epochs):
@@ -195,8 +202,7 @@ def train(texts: list[str | None], toxic: list[int], share: float | None = None,
             single, margin = forward()
             alone = clean * (1.0 + HARD_WORD * (single > -1))
             alone *= ALONE / max(alone.sum(), 1)
-            best = np.full(len(y_doc), -np.inf)
-            np.maximum.at(best, doc_of, margin)
+            best = np.maximum.reduceat(margin, of_doc)
             worst = (margin >= best[doc_of] - 1e-12) | (margin > np.maximum(0.5 * best[doc_of], 0))
             use = kept[doc_of] * np.where(y == 1, worst, 1.0 + HARD * (margin > 0))
         balance = np.where(y == 1, 0.5 / max(use[y == 1].sum(), 1), 0.5 / max(use[y == 0].sum(), 1)) * use
@@ -205,7 +211,9 @@ def train(texts: list[str | None], toxic: list[int], share: float | None = None,
             single, margin = forward()
             g = balance * (sigmoid(margin) - y)         # d loss / d z1 = - d loss / d z0
             g_alone = alone * sigmoid(single)
-            by_word = np.bincount(word, weights=(g / n_in)[p_of_word], minlength=len(types)) + g_alone
+            share_of = g / n_in                         # a passage's part for each of its words
+            of_word = np.cumsum(np.bincount(first, share_of, len(word) + 1) - np.bincount(last, share_of, len(word) + 1))[:-1]
+            by_word = np.bincount(word, weights=of_word, minlength=len(types)) + g_alone
             by_bucket = np.bincount(gram, weights=(by_word / g_n)[type_of_gram], minlength=BUCKETS)
             d_layer = np.einsum("bd,b->d", emb, by_bucket)
             adam("emb", emb, by_bucket[:, None] * (layer[:, 1] - layer[:, 0]), DECAY)
@@ -216,8 +224,7 @@ def train(texts: list[str | None], toxic: list[int], share: float | None = None,
     seen[gram] = True
     weight[~seen] = 0.0                      # n-grams never trained on speak for no class
     _, margin = forward()
-    text_logit = np.full(len(y_doc), -np.inf)
-    np.maximum.at(text_logit, doc_of, margin)
+    text_logit = np.maximum.reduceat(margin, of_doc)
     held = ~kept if len(set(y_doc[~kept])) == 2 else np.ones(len(y_doc), bool)
     prior = np.where(y_doc == 1, share / max(np.mean(y_doc[held]), 1e-9), (1 - share) / max(1 - np.mean(y_doc[held]), 1e-9))
     slope, offset = platt(text_logit[held], y_doc[held], prior[held])
@@ -250,14 +257,17 @@ def known_labels(labels: DataFrame) -> DataFrame:
             .filter(fold(F.col("_id")) != 0).groupBy("_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Text and label of at most ``max_rows`` labelled documents of each class outside the held-out fold."""
+def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Text and label of at most ``max_rows`` labelled documents of each class outside the held-out fold, ``max_bytes`` together."""
     known = known_labels(labels)
     key = F.xxhash64("_id", F.lit(11))
     picked = [known.filter(F.col("toxic") == c).orderBy(key, "_id").limit(max_rows) for c in (0, 1)]
     sample = picked[0].unionByName(picked[1])
-    return (docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
-            .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
+    texts = (docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
+             .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    upto = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    return texts.filter(size <= MAX_TEXT).withColumn("upto", F.sum(size).over(upto)).filter(F.col("upto") <= max_bytes).drop("upto")
 
 
 def _score_batches(shared):
@@ -269,7 +279,7 @@ def _score_batches(shared):
         for batch in batches:
             scores = []
             for part in text_parts(batch, max_bytes=1 << 20):
-                texts = [(t or "").split() for t in part.column("text").to_pylist()]
+                texts = [tokens_of(t) for t in part.column("text").to_pylist()]
                 new = {w for words in texts for w in words if w not in cache}
                 if new:
                     if len(cache) + len(new) > CACHE_WORDS:
@@ -300,9 +310,9 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
-    """Rows of ``docs`` whose score is below ``limit``."""
-    return (score_documents(docs, fit(docs, labels)).filter(F.col("score") < limit)
-            .select(*[F.col(f"`{c}`") for c in docs.columns if c != "score"]))
+    """Rows of ``docs``, all their columns as they are, whose score is below ``limit``."""
+    rows, back = aside(docs, "doc_id", "text")
+    return back(score_documents(rows, fit(rows, labels)).filter(F.col("score") < limit))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import zlib
 import public_tokenizers
 import pytest
 from llm_fixtures import SF, SF01, long_text, no_docs, odd_docs  # noqa: F401
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as E
@@ -259,11 +260,52 @@ def test_decontam_digest(spark):
 # op 10
 
 def test_toxicity_query(spark):
-    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF01}/labels.parquet").collect()}
     rows = E.queries()["op10_toxicity"](spark, SF01).collect()
     assert all(r.held_out == (fold(r.doc_id, 5) == 0) and 0 <= r.score <= 1 and r.predicted == int(r.score >= .5) for r in rows)
-    known = [r for r in rows if r.doc_id in labels and not r.held_out]
-    assert sum(r.predicted == labels[r.doc_id] for r in known) / len(known) > .9
+
+
+def test_toxicity_on_held_out_rows(spark):
+    """Held-out labels: part of the toxic ones stand on texts without a toxic word, so not all can be found; "never toxic" finds none."""
+    sf = SF01.replace("sf0.01", "sf0.1")
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    size = {r.doc_id: len((r.text or "").split()) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    known = [r for r in E.queries()["op10_toxicity"](spark, sf).collect() if r.held_out and labels.get(r.doc_id) is not None]
+    share = lambda rows: sum(r.predicted for r in rows) / len(rows)
+    assert share([r for r in known if labels[r.doc_id]]) > .65
+    assert share([r for r in known if not labels[r.doc_id] and size[r.doc_id] <= 300]) < .01
+    assert share([r for r in known if not labels[r.doc_id] and size[r.doc_id] > 300]) < .04
+
+
+@pytest.mark.parametrize("at", [0.0, 0.37, 0.999])
+def test_toxicity_sees_every_place_of_a_long_text(at):
+    """The only toxic word of a long training text may stand anywhere."""
+    rng = random.Random(9)
+    syllables = ["ba", "ne", "to", "li", "su", "ra", "mi", "ko", "pe", "du"]
+    plain = lambda: "".join(rng.choices(syllables, k=rng.randint(2, 3)))
+
+    def text(n, bad):
+        words = [plain() for _ in range(n)]
+        if bad:
+            words.insert(int(at * n), "scumbag")
+        return " ".join(words)
+    y = [k % 2 for k in range(160)]
+    model = tox.train([text(2000, k) for k in y], y)
+    score = lambda t: model.score(model.text_logit(model.word_logits([tox.letters_of(w) for w in tox.tokens_of(t)])))
+    assert sum(score(text(2000, 1)) >= .5 for _ in range(20)) >= 18
+    assert sum(score(text(2000, 0)) >= .5 for _ in range(20)) <= 2
+
+
+def test_toxicity_reads_long_tokens_whole():
+    assert tox.tokens_of("a " + "x" * 250_000 + " b") == ["a", "x" * 100_000, "x" * 100_000, "x" * 50_000, "b"]
+    assert tox.tokens_of(None) == [] and tox.tokens_of(" a  b ") == ["a", "b"]
+
+
+def test_toxicity_sample_bound(spark):
+    docs = spark.createDataFrame([(i, "w " * 500) for i in range(60)] + [(99, "x" * (tox.MAX_TEXT + 1))], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    picked = tox.training_rows(docs, labels, max_rows=20, max_bytes=8000).collect()
+    assert all(r.text == "w " * 500 for r in picked)
+    assert max(sum(r.toxic == c for r in picked) for c in (0, 1)) == 8
 
 
 def test_toxicity_learns_misspellings():
