@@ -88,14 +88,15 @@ WITH rest AS (
   WHERE doc_id IS NOT NULL AND (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY doc_id
 ), labelled AS (
   SELECT url, count(*) AS n, count(*) FILTER (WHERE bad) AS n_bad FROM parts JOIN known USING (page_id) GROUP BY url
-), least_count AS (SELECT ceil({urls.MIN_SUPPORT} * sum(n)) AS c FROM labelled
+), least_count AS (SELECT greatest({urls.MIN_ROWS}, ceil({urls.MIN_SUPPORT} * sum(n))) AS c FROM labelled
 ), sets AS (
   SELECT t AS t1, t AS t2, n, n_bad FROM tok JOIN labelled USING (url)
   UNION ALL
   SELECT a.t, b.t, n, n_bad FROM tok a JOIN tok b ON a.url = b.url AND a.t < b.t JOIN labelled l ON l.url = a.url
 ), mined AS (
-  SELECT t1, t2 FROM sets GROUP BY t1, t2
-  HAVING sum(n_bad) >= (SELECT c FROM least_count) AND sum(n_bad) > 0 AND sum(n_bad) / sum(n) >= {urls.MIN_CONFIDENCE}
+  SELECT t1, t2 FROM (SELECT t1, t2, sum(n)::DOUBLE AS n, sum(n_bad)::DOUBLE AS b, sum(n_bad)::DOUBLE / sum(n) AS p FROM sets GROUP BY t1, t2)
+  WHERE b >= (SELECT c FROM least_count) AND p >= {urls.MIN_CONFIDENCE}
+    AND (p + {urls.Z ** 2} / (2 * n) - {urls.Z} * sqrt((p * (1 - p) + {urls.Z ** 2} / (4 * n)) / n)) / (1 + {urls.Z ** 2} / n) >= {urls.MIN_LOWER}
 ), hits AS (
   SELECT DISTINCT a.url FROM mined JOIN tok a ON a.t = t1 JOIN tok b ON b.t = t2 AND b.url = a.url
 )

@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
+from ratecraft.llm import op05_superminhash as mh
+from ratecraft.llm import op07_decontam as deco
 from ratecraft.llm import op08_mix as mix
 from ratecraft.llm import op09_url_rules as urls
+from ratecraft.llm import op10_toxicity as tox
 
 
 def fill(sizes, weights, cap):
@@ -110,6 +113,11 @@ def test_url_rules_and_tokens(spark):
     assert urls.judge_urls(df.limit(0), none).count() == 0
 
 
+def wilson(bad, n, z=urls.Z):
+    p = bad / n
+    return (p + z * z / (2 * n) - z * ((p * (1 - p) + z * z / (4 * n)) / n) ** 0.5) / (1 + z * z / n)
+
+
 def test_mined_rules(spark):
     pages, labels = [], []
     for i in range(400):
@@ -129,8 +137,8 @@ def test_mined_rules(spark):
             for c in combinations(sorted(tokens), k):
                 both[c] += 1
                 bad[c] += is_bad
-    least = ceil(urls.MIN_SUPPORT * len(baskets))
-    rules = [set(c) for c in both if bad[c] >= max(least, 1) and bad[c] / both[c] >= urls.MIN_CONFIDENCE]
+    least = max(urls.MIN_ROWS, ceil(urls.MIN_SUPPORT * len(baskets)))
+    rules = [set(c) for c in both if bad[c] >= least and bad[c] / both[c] >= urls.MIN_CONFIDENCE and wilson(bad[c], both[c]) >= urls.MIN_LOWER]
     assert rules
     for i, u in pages:
         want = "block" if any(r <= brute_tokens(u) for r in rules) else "allow"
@@ -153,9 +161,8 @@ def test_pipeline_stages(spark):
             now = Counter(r.doc_id for r in kept)
             assert set(now) <= set(before)
             if name == "minhash_dedup":
-                from test_dedup import brute_groups, text_sets
-                roots = brute_groups(text_sets([(r.doc_id, r.text) for r in at.collect()]))
-                assert set(now) == {i for i, r in roots.items() if i == r}
+                from test_pipeline_shingles import kept_of, sets_of
+                assert set(now) == kept_of(sets_of([(r.doc_id, r.text) for r in at.collect()], corpus_pipeline.SHINGLE))
             if name == "decontamination":
                 from test_text_operators import brute_hits
                 bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
@@ -171,6 +178,50 @@ def test_pipeline_stages(spark):
     assert Counter(r.doc_id for r in left.collect()) == Counter(r.doc_id for r in at.collect())
 
 
+CLASH = ["size", "source_size", "target", "rate", "copies", "taken", "_source", "_copy", "__copy", "hits", "items", "n_words", "score", "__in_0", "Score", "a.b", "c`d"]
+
+
+def test_stages_keep_every_column_as_it_is(spark):
+    """Columns named like those that the operators add come out with the values that went in."""
+    long = "clean words only here and there " * 3
+    rows = [(i, f"{long} {i}", "en", "ab"[i % 2], *[f"{c}-{i}" for c in CLASH]) for i in range(30)]
+    names = [c for c in CLASH if c != "Score"]           # Spark's names do not tell upper from lower case
+    rows = [(r[:4] + tuple(v for c, v in zip(CLASH, r[4:]) if c != "Score")) for r in rows]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", *names])
+    want = {r[0]: r for r in rows}
+    for out in (mix.emit_mix(docs), deco.clean_documents(docs, spark.createDataFrame([(1, "nothing of it occurs")], "item_id long, text string")),
+                tox.keep_clean(docs, spark.createDataFrame([(1, 0)], "doc_id long, toxic int")), mh.drop_duplicates(docs.filter("doc_id < 3"), 50)):
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert got and all(tuple(r) == want[r.doc_id] for r in got)
+
+
+def test_rules_rest_on_enough_rows(spark):
+    """Four bad pages make no rule, five and more do if hardly any good page holds the tokens; the rules carry the verdict."""
+    pages, labels = [], []
+    def add(url, bad):
+        pages.append((len(pages), url))
+        if bad is not None:
+            labels.append((len(pages) - 1, bad))
+    for i in range(300):
+        add(f"https://good.example.org/a/{i}", False)
+    for k, (n_bad, n_good) in {"four": (4, 0), "five": (5, 0), "mixed": (5, 1), "many": (40, 8), "half": (40, 30)}.items():
+        for i in range(n_bad + n_good):
+            add(f"https://x{i}.example.org/{k}/{i}", i < n_bad)
+        add(f"https://new.example.org/{k}/1", None)
+    df, lab = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad boolean")
+    verdict = {r.url: r.verdict for r in urls.judge_urls(df, lab).collect()}
+    assert {k: verdict[f"https://new.example.org/{k}/1"] for k in ("four", "five", "mixed", "many", "half")} == {
+        "four": "allow", "five": "block", "mixed": "allow", "many": "block", "half": "allow"}
+
+
+def test_tokens_that_are_rules_are_not_mined_again(spark):
+    """Twenty-five tokens that always occur together are 25 rules, not 2^25 sets."""
+    rows = [([f"t{k:02d}" for k in range(25)], True)] * 10 + [(["u"], False)] * 50
+    rules = urls.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()
+    assert sorted(r.tokens[0] for r in rules) == [f"t{k:02d}" for k in range(25)] and all(len(r.tokens) == 1 for r in rules)
+
+
 def test_pipeline_odd_rows(spark, odd_docs, no_docs, tmp_path):
     for docs in (odd_docs, no_docs):
         at = docs
