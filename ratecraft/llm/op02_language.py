@@ -7,9 +7,13 @@ word. Per language, n-gram counts of a bounded training sample (about
 order uses counts, lower orders the number of distinct characters seen before
 an n-gram (n-grams at a word's start have none before them and use counts).
 Each order subtracts its discount n1 / (n1 + 2 n2) and hands the mass on to the
-next lower order. All n-grams of all languages share one sorted array of 64-bit
-hashes with a row of log probabilities and a row of back-off weights each;
-``MAX_CELLS`` bounds it, the most frequent n-grams stay.
+next lower order. A language is smoothed on all n-grams of its sample, one
+language at a time; then it keeps those of orders 1 and 2 and the most frequent
+others, an equal number for each language (``MAX_ENTRIES`` in all), and its
+back-off weights are set anew so that probabilities still sum to one. The
+n-grams of all languages share one sorted array of 64-bit hashes; each has the
+entries (language, log probability, back-off weight) of the languages that know
+it.
 
 A text goes to the language with the lowest cross-entropy in bits a character
 over all its words. The margin to the runner-up, scaled by the text's length,
@@ -45,7 +49,8 @@ from ratecraft.session import materialize
 ORDER = 4
 MAX_DOCS = 2500              # training documents of a language (about, by hash)
 TOTAL_DOCS = 50_000          # of all languages together
-MAX_CELLS = 4_000_000        # n-grams times languages of the model
+MAX_ENTRIES = 8_000_000      # (language, n-gram) entries of the model, the same share for each language
+MOST_ENTRIES = 250_000       # of one language
 CALIBRATE = 0.2              # share of the sample that fits score and rejection
 TARGET_ERROR = 0.01
 CACHE_TOKENS = 250_000
@@ -63,9 +68,12 @@ def words_of(token: str) -> list[str]:
 
 @dataclass
 class Model:
-    """langs; sorted n-gram hashes; log2 probabilities and back-offs (n-grams x langs); floor per lang; score fit."""
+    """langs; sorted n-gram hashes; per n-gram the entries first[i]..first[i + 1] (language, log2 probability or NaN,
+    log2 back-off); probability of an unknown character per language; score fit."""
     langs: list[str]
     grams: np.ndarray
+    first: np.ndarray
+    lang: np.ndarray
     logp: np.ndarray
     backoff: np.ndarray
     unknown: np.ndarray
@@ -80,9 +88,16 @@ class Model:
             out[lo:hi] = self._bits(words[lo:hi])
         return out
 
+    def _entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index into ``rows``, entry) of all entries of the n-grams ``rows``."""
+        start, n = self.first[rows], self.first[rows + 1] - self.first[rows]
+        of = np.repeat(np.arange(len(rows)), n)
+        return of, np.arange(len(of)) + np.repeat(start - (np.cumsum(n) - n), n)
+
     def _bits(self, words: list[str]) -> np.ndarray:
         cps, starts = code_points(words)
-        value = np.tile(self.unknown, (len(cps), 1))
+        width = len(self.langs)
+        value = np.tile(self.unknown, len(cps))  # position by position, a number for each language
         before = None                            # n-gram row that ends at each position, one order lower
         for n in range(1, ORDER + 1):
             h, end = rolling(cps, starts, n)
@@ -91,65 +106,87 @@ class Model:
                 at = np.minimum(np.searchsorted(self.grams, h), len(self.grams) - 1)
                 row[end] = np.where(self.grams[at] == h, at, -1)
             if n > 1:
-                context = before[end - 1]
-                value[end] += np.where((context >= 0)[:, None], self.backoff[context], 0)
+                known = end[before[end - 1] >= 0]
+                of, entry = self._entries(before[known - 1])
+                value[(known * width)[of] + self.lang[entry]] += self.backoff[entry]
             seen = np.flatnonzero(row >= 0)
-            p = self.logp[row[seen]]
-            value[seen] = np.where(np.isnan(p), value[seen], p)
+            of, entry = self._entries(row[seen])
+            p, at = self.logp[entry], (seen * width)[of] + self.lang[entry]
+            if n == 1:                           # the start mark has no probability of its own
+                p, at = p[~np.isnan(p)], at[~np.isnan(p)]
+            value[at] = p
             before = row
+        value = value.reshape(len(cps), width)
         value[starts[:-1]] = 0                   # the start mark is given, not predicted
         return np.add.reduceat(value, starts[:-1], axis=0)
 
 
-def kneser_ney(lang: np.ndarray, order: np.ndarray, gram: np.ndarray, context: np.ndarray, suffix: np.ndarray,
-               initial: np.ndarray, count: np.ndarray, langs: list[str]) -> Model:
-    """Model from n-gram rows: language index, order, hashes of the n-gram, its context and its
-    suffix, whether it starts a word, and its count."""
-    grams = np.unique(gram)
-    size = len(grams)
-    logp = np.full((size, len(langs)), np.nan, np.float32)
-    backoff = np.zeros((size, len(langs)), np.float32)
-    unknown = np.zeros(len(langs))
-    alphabet = max(256, 2 * len(np.unique(gram[order == 1])))
-    row = np.searchsorted(grams, gram)
-    for li in range(len(langs)):
-        prob = np.full(size, np.nan)
-        for n in range(1, ORDER + 1):
-            own = np.flatnonzero((lang == li) & (order == n) & ~((order == 1) & initial))   # the start mark is only a context
-            c = count[own].astype(np.float64)
-            if n < ORDER:                        # distinct left extensions, from the next order
-                up = np.flatnonzero((lang == li) & (order == n + 1))
-                left = np.zeros(size)
-                at = np.searchsorted(grams, suffix[up])
-                at = at[(at < size) & (grams[np.minimum(at, size - 1)] == suffix[up])]
-                left += np.bincount(at, minlength=size)
-                c = np.where(initial[own], c, np.maximum(left[row[own]], 1))
-            if not len(own):
-                if n == 1:
-                    unknown[li] = -np.log2(alphabet)
-                continue
-            n1, n2 = np.sum(c == 1), np.sum(c == 2)
-            d = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
-            if n == 1:
-                total = c.sum()
-                spread = d * len(c) / total / alphabet
-                prob[row[own]] = np.maximum(c - d, 0) / total + spread
-                unknown[li] = np.log2(spread)
-                continue
-            _, inverse = np.unique(context[own], return_inverse=True)
-            total = np.bincount(inverse, weights=c)
-            kinds = np.bincount(inverse)
-            gamma = d * kinds / total
-            lower = np.searchsorted(grams, suffix[own])
-            hit = (lower < size) & (grams[np.minimum(lower, size - 1)] == suffix[own])
-            base = np.where(hit, prob[np.minimum(lower, size - 1)], np.nan)
-            base = np.where(np.isnan(base), 2.0 ** unknown[li], base)
-            prob[row[own]] = np.maximum(c - d, 0) / total[inverse] + gamma[inverse] * base
-            at = np.searchsorted(grams, context[own])
-            known = (at < size) & (grams[np.minimum(at, size - 1)] == context[own])
-            backoff[at[known], li] = np.log2(gamma[inverse][known])
-        logp[:, li] = np.log2(prob)
-    return Model(langs, grams, logp, backoff, unknown)
+def _place(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Index of each key in a sorted table, -1 if it is not there."""
+    at = np.minimum(np.searchsorted(table, keys), max(len(table) - 1, 0))
+    return np.where(table[at] == keys, at, -1) if len(table) else np.full(len(keys), -1)
+
+
+def kneser_ney(order: np.ndarray, gram: np.ndarray, context: np.ndarray, suffix: np.ndarray, initial: np.ndarray, count: np.ndarray,
+               keep: int = MOST_ENTRIES) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """One language from its n-grams (order, hashes of the n-gram, its context and its suffix, whether it starts a
+    word, count): sorted hashes, log2 probabilities (NaN for the start mark), log2 back-off weights, log2
+    probability of an unknown character. At most ``keep`` n-grams above order 2 stay."""
+    by = np.argsort(gram)
+    order, gram, context, suffix, initial, count = (x[by] for x in (order, gram, context, suffix, initial, count))
+    size = len(gram)
+    prob, spread = np.full(size, np.nan), 1.0
+    below, above = _place(gram, suffix), _place(gram, context)
+    alphabet = max(256, 2 * int(np.sum(order == 1)))
+    for n in range(1, ORDER + 1):
+        own = np.flatnonzero((order == n) & ~((n == 1) & initial))          # the start mark is only a context
+        if not len(own):
+            continue
+        c = count[own].astype(np.float64)
+        if n < ORDER:                        # distinct left extensions, from the next order
+            up = below[(order == n + 1) & (below >= 0)]
+            c = np.where(initial[own], c, np.maximum(np.bincount(up, minlength=size)[own], 1))
+        n1, n2 = np.sum(c == 1), np.sum(c == 2)
+        d = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+        if n == 1:
+            spread = d * len(c) / c.sum() / alphabet
+            prob[own] = np.maximum(c - d, 0) / c.sum() + spread
+            continue
+        _, inverse = np.unique(context[own], return_inverse=True)
+        total = np.bincount(inverse, weights=c)
+        gamma = d * np.bincount(inverse) / total
+        base = np.where(below[own] >= 0, prob[below[own]], np.nan)
+        prob[own] = np.maximum(c - d, 0) / total[inverse] + gamma[inverse] * np.where(np.isnan(base), spread, base)
+    # prune: by count, lower orders first among equals, so what stays holds the contexts and suffixes of all that stays
+    rank = np.lexsort((gram, order, -count, order > 2))
+    stays = np.zeros(size, bool)
+    stays[rank[:int(np.sum(order <= 2)) + keep]] = True
+    backoff = np.ones(size)
+    for n in range(2, ORDER + 1):
+        own = np.flatnonzero((order == n) & stays & (above >= 0))
+        if not len(own):
+            continue
+        # the suffix of what stays stays, and holds its lower probability (or it is an unknown character)
+        low = np.where(below[own] >= 0, prob[below[own]], np.nan)
+        low = np.where(np.isnan(low), spread, low)
+        held, lower = (np.bincount(above[own], weights=x, minlength=size) for x in (prob[own], low))
+        at = np.unique(above[own])
+        backoff[at] = np.maximum(1 - held[at], 1e-9) / np.maximum(1 - lower[at], 1e-9)
+    with np.errstate(divide="ignore"):
+        return gram[stays], np.log2(prob[stays]).astype(np.float32), np.log2(backoff[stays]).astype(np.float32), float(np.log2(spread))
+
+
+def join_languages(langs: list[str], parts: list[tuple]) -> Model:
+    """One model from the languages' tables (``kneser_ney``)."""
+    if not langs:
+        return Model([], np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int16), np.zeros(0), np.zeros(0), np.zeros(0))
+    gram = np.concatenate([p[0] for p in parts])
+    lang = np.repeat(np.arange(len(langs), dtype=np.int16), [len(p[0]) for p in parts])
+    by = np.lexsort((lang, gram))
+    gram = gram[by]
+    new = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.zeros(0, np.int64)
+    pick = lambda k: np.concatenate([p[k] for p in parts])[by]
+    return Model(langs, gram[new], np.append(new, len(gram)).astype(np.int64), lang[by], pick(1), pick(2), np.array([p[3] for p in parts]))
 
 
 def _count_words(batches):
@@ -233,20 +270,20 @@ def fit(docs: DataFrame, max_docs: int = MAX_DOCS) -> Model:
     sample = materialize(training_sample(docs, max_docs), "lang-sample")
     langs = sorted(r.lang for r in sample.select("lang").distinct().collect())
     if not langs:
-        return Model([], np.zeros(0, np.uint64), np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0))
+        return join_languages([], [])
     words = (sample.filter(F.col("part") >= CALIBRATE).select("lang", "text")
              .mapInArrow(_count_words, "lang string, word string, n long")
              .groupBy("lang", "word").agg(F.sum("n").alias("n")))
     grams = (words.mapInArrow(_count_grams, "lang string, n int, gram long, context long, suffix long, initial boolean, count long")
              .groupBy("lang", "n", "gram").agg(F.first("context").alias("context"), F.first("suffix").alias("suffix"),
                                                F.first("initial").alias("initial"), F.sum("count").alias("count")))
-    top = grams.orderBy(F.col("n") > 2, F.desc("count"), "lang", "gram").limit(max(1, MAX_CELLS // len(langs)))
-    t = top.toArrow()
-    col = lambda c: t.column(c).to_numpy()
-    index = {x: i for i, x in enumerate(langs)}
-    lang = np.array([index[x] for x in t.column("lang").to_pylist()], np.int64)
-    model = kneser_ney(lang, col("n"), *(col(c).view(np.uint64) for c in ("gram", "context", "suffix")),
-                       col("initial"), col("count"), langs)
+    grams = materialize(grams, "lang-grams")
+    keep, parts = min(MOST_ENTRIES, MAX_ENTRIES // len(langs)), []
+    for lang in langs:                       # one bounded sample at a time
+        t = grams.filter(F.col("lang") == lang).drop("lang").toArrow()
+        col = lambda c: t.column(c).to_numpy()  # noqa: E731,B023
+        parts.append(kneser_ney(col("n"), *(col(c).view(np.uint64) for c in ("gram", "context", "suffix")), col("initial"), col("count"), keep))
+    model = join_languages(langs, parts)
     seen = predict(sample.filter(F.col("part") < CALIBRATE).select("lang", "text"), model).select(
         (F.col("lang") == F.col("lang_pred")).alias("right"), "evidence").filter("evidence is not null").toArrow()
     return calibrate(model, seen.column("evidence").to_numpy(), seen.column("right").to_numpy(zero_copy_only=False))

@@ -4,7 +4,10 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
+from math import log2
 
+import numpy as np
 import public_tokenizers
 import pytest
 from llm_fixtures import SF, SF01, long_text, no_docs, odd_docs  # noqa: F401
@@ -17,6 +20,7 @@ from ratecraft.llm import op03_licenses as lic
 from ratecraft.llm import op06_edit_counts as edits
 from ratecraft.llm import op07_decontam as deco
 from ratecraft.llm import op10_toxicity as tox
+from ratecraft.llm.wordgrams import rolling
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -40,43 +44,112 @@ def test_language_query(spark):
     assert sum(r.lang_pred == docs[r.doc_id].lang for r in held) / len(held) > .97
 
 
-def test_language_probabilities_sum_to_one(spark):
-    """Interpolated Kneser-Ney: the next-character probabilities after any context sum to one."""
-    import numpy as np
-    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(["banana bandana", "an anna bandit", "nab a tan"] * 8)],
+def brute_kneser_ney(counts, size):
+    """Interpolated Kneser-Ney on plain dicts: counts of words -> function (context, character) -> probability."""
+    grams = [Counter() for _ in range(size + 1)]
+    for word, k in counts.items():
+        marked = "\x02" + word + "\x03"
+        for n in range(1, size + 1):
+            for i in range(len(marked) - n + 1):
+                grams[n][marked[i:i + n]] += k
+    level = []
+    for n in range(1, size + 1):
+        c = {}
+        for g, k in grams[n].items():
+            if g != "\x02":
+                left = sum(h[1:] == g for h in grams[n + 1]) if n < size else 0
+                c[g] = k if n == size or g[0] == "\x02" else max(left, 1)
+        n1, n2 = (sum(v == x for v in c.values()) for x in (1, 2))
+        level.append((c, n1 / (n1 + 2 * n2) if n1 and n2 else .5))
+    alphabet = max(256, 2 * len(grams[1]))
+
+    def p(context, char):
+        c, d = level[len(context)]
+        own = {g: v for g, v in c.items() if g[:-1] == context}
+        total = sum(own.values())
+        if not context:
+            return max(own.get(char, 0) - d, 0) / total + d * len(own) / total / alphabet
+        if not own:
+            return p(context[1:], char)
+        return max(own.get(context + char, 0) - d, 0) / total + d * len(own) / total * p(context[1:], char)
+    return p
+
+
+LANG_WORDS = {"en": "banana bandana an anna bandit nab a tan band and tab", "xx": "ana bab dnd tan"}
+
+
+def language_model(spark, monkeypatch, **limits):
+    for k, v in limits.items():
+        monkeypatch.setattr(lang, k, v)
+    docs = spark.createDataFrame([(i, " ".join(random.Random(i).choices(LANG_WORDS[x].split(), k=9)), x) for i in range(60) for x in LANG_WORDS],
                                  "doc_id long, text string, lang string")
     model = lang.fit(docs)
-    letters = "abdint"
-    for context in ("", "b", "ba", "ban", "zz"):
-        total = 0.0
-        for c in [*letters, "\x03"]:
-            cps = [2, *map(ord, context), ord(c)]
-            total += 2.0 ** symbol_bits(model, np.array(cps, np.uint64))
-        assert .8 < total <= 1.0 + 1e-6      # the rest is set aside for characters never seen
-
-
-def symbol_bits(model, cps):
-    """log2 probability of the last code point after the others, by plain recursion."""
-    import numpy as np
-    from ratecraft.llm.wordgrams import rolling
-
-    def row(part):
+    sample = lang.training_sample(docs).filter(F.col("part") >= lang.CALIBRATE).collect()
+    return model, {x: Counter(w for r in sample if r.lang == x for w in r.text.split()) for x in LANG_WORDS}
+
+
+def test_language_model_equals_plain_kneser_ney(spark, monkeypatch):
+    model, counts = language_model(spark, monkeypatch)
+    words = ["banana", "tan", "b", "dan", "zebra", "nabz", "é", "abandon"]
+    bits = model.word_bits(words)
+    for k, x in enumerate(sorted(LANG_WORDS)):
+        p = brute_kneser_ney(counts[x], lang.ORDER)
+        for w, got in zip(words, bits[:, k]):
+            marked = "\x02" + w + "\x03"
+            want = sum(log2(p(marked[max(0, i - lang.ORDER + 1):i], marked[i])) for i in range(1, len(marked)))
+            assert got == pytest.approx(want, rel=1e-5), (x, w)
+
+
+@pytest.mark.parametrize("keep", [10**6, 5, 0])
+def test_language_probabilities_sum_to_one(spark, monkeypatch, keep):
+    """Also after pruning, the next-character probabilities after any context sum to one with those of unseen characters."""
+    model, _ = language_model(spark, monkeypatch, MOST_ENTRIES=keep)
+    assert sum(np.diff(model.first)) <= 2 * (40 + keep) or keep > 100
+    for k, x in enumerate(sorted(LANG_WORDS)):
+        seen = sorted({c for w in LANG_WORDS[x].split() for c in w} | {"\x03"})
+        alphabet = max(256, 2 * (len(seen) + 1))
+        for context in ("", "b", "ba", "ban", "zz", "\x02", "\x02b"):
+            bits = lambda c: symbol_bits(model, k, context + c)  # noqa: E731,B023
+            total = sum(2.0 ** bits(c) for c in seen) + (alphabet - len(seen)) * 2.0 ** bits("\u4e00")
+            assert total == pytest.approx(1, abs=2e-4), (x, context)
+
+
+def symbol_bits(model, k, text):
+    """log2 probability of the last character after the others in language ``k``, by plain recursion."""
+    cps = np.array([*map(ord, text)], np.uint64)
+
+    def entry(part):
         h = rolling(part, np.array([0, len(part)]), len(part))[0][0]
         at = int(np.searchsorted(model.grams, h))
-        return at if at < len(model.grams) and model.grams[at] == h else None
+        if at < len(model.grams) and model.grams[at] == h:
+            return next((e for e in range(model.first[at], model.first[at + 1]) if model.lang[e] == k), None)
+        return None
 
-    bits = None
+    bits = float(model.unknown[k])
     for n in range(1, min(lang.ORDER, len(cps)) + 1):
-        at = row(cps[-n:])
-        if n == 1:
-            bits = model.unknown[0] if at is None else model.logp[at, 0]
-            continue
+        at, context = entry(cps[-n:]), entry(cps[-n:-1]) if n > 1 else None
         if at is not None:
-            bits = model.logp[at, 0]
-        else:
-            context = row(cps[-n:-1])
-            bits += 0 if context is None else model.backoff[context, 0]
-    return float(bits)
+            bits = float(model.logp[at])
+        elif context is not None:
+            bits += float(model.backoff[context])
+    return bits
+
+
+def test_uneven_languages_keep_an_equal_share(spark, monkeypatch):
+    """Twenty languages, some with a fiftieth of the others' documents: the rare ones are told apart as well."""
+    rng = random.Random(12)
+    words = {f"l{k:02d}": ["".join(rng.choices("abcdefghijklmnop", weights=[rng.random() ** 3 for _ in range(16)], k=rng.randint(2, 7))) for _ in range(60)] for k in range(20)}
+    def text(x, n):
+        return " ".join(rng.choices(words[x], k=n))
+    rows = [(x, text(x, 40)) for k, x in enumerate(words) for _ in range(6 if k % 3 == 0 else 120)]
+    docs = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(rows)], "doc_id long, text string, lang string").repartition(4)
+    monkeypatch.setattr(lang, "MAX_ENTRIES", 20 * 600)
+    model = lang.fit(docs)
+    per = np.bincount(model.lang, minlength=20)
+    assert per.max() <= 600 + 16 * 16 + 40 and per.min() > 100
+    asked = [(x, text(x, 30)) for x in words for _ in range(5)]
+    got = lang.predict(spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(asked)], "doc_id long, text string, want string"), model).collect()
+    assert sum(r.lang_pred == r.want for r in got) >= 97
 
 
 def test_language_odd_rows(spark, odd_docs, no_docs):
@@ -224,8 +297,8 @@ def test_decontam_against_brute_force(spark):
     items = [(i, " ".join(rng.choices(vocabulary, k=k))) for i, k in enumerate([0, 1, 2, 3, 4, 6, 9, 3, 5])] + [(3, "zz"), (None, "c c c"), (99, None)]
     docs = [(i, rng.choice(["", ", "]).join([" ".join(rng.choices(vocabulary, k=rng.randint(0, 30)))])) for i in range(60)]
     df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    for part_bytes in (1 << 20, 60):            # one automaton; several passes
-        rows = deco.scan_documents(df, bench, window=4, part_bytes=part_bytes).select("*", deco.hit_words().alias("n_hit")).collect()
+    for max_nodes in (1 << 20, 240):            # one automaton; several passes
+        rows = deco.scan_documents(df, bench, window=4, max_nodes=max_nodes).select("*", deco.hit_words().alias("n_hit")).collect()
         for r in rows:
             n, hit, found = brute_hits(r.text, items, 4)
             assert (r.n_words, r.n_hit) == (n, len(hit))
@@ -248,7 +321,7 @@ def test_decontam_odd_rows(spark, odd_docs, no_docs):
     assert all(r.n_words == len(words(r.text)) for r in rows)
     none = bench.limit(0)
     assert deco.clean_documents(odd_docs, none).count() == odd_docs.count()
-    assert deco.clean_documents(odd_docs, bench).columns == [c for c in odd_docs.columns if c not in ("hits", "items", "n_words")]
+    assert deco.clean_documents(odd_docs, bench).columns == odd_docs.columns
     assert deco.scan_documents(no_docs, bench).count() == 0
 
 
