@@ -7,10 +7,12 @@ window) is one pattern of the automaton, which scans each normalised text
 once. Hits are turned into word ranges, and word ranges into character spans
 of the original text.
 
-The item patterns reach the workers as a broadcast of checked size: the
-summed item bytes are measured first, and a benchmark above ``part_bytes`` is
-dealt into parts by a hash of the item, each scanned in a pass of its own that
-adds to the same columns.
+The item patterns reach the workers as a broadcast of checked size. An
+automaton has about ``window`` nodes for each byte of its items and a node takes
+some 46 bytes, so the summed item bytes are measured first, and a benchmark
+beyond ``MAX_NODES`` (about 0.6 GB a worker) is dealt into parts by a hash of
+the item, each scanned in a pass of its own that adds to the same columns: one
+pass over the documents for every 1.2 MB of items.
 
 Defined cases: a null or empty text has no words and no hits; a null or empty
 item has no windows; repeated item rows count once; an item without an id
@@ -33,7 +35,7 @@ from ratecraft.llm.common import aside, ship, table
 from ratecraft.session import materialize
 
 WINDOW = 10
-PART_BYTES = 16 << 20
+MAX_NODES = 12_000_000       # of an automaton
 #: Bytes outside digits, letters and 0x80-0xFF read as a space, A-Z as a-z.
 _FOLD = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A
               else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
@@ -135,7 +137,7 @@ def _scan_pass(shared, tag: str, window: int, first_pass: bool):
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                   part_bytes: int = PART_BYTES) -> DataFrame:
+                   max_nodes: int = MAX_NODES) -> DataFrame:
     """``docs`` (any columns, ``text`` among them) with n_words, hits, items.
 
     ``hits`` are word ranges [first, after) and ``items`` the sorted ids (as
@@ -147,7 +149,7 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     items = (benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
              .filter("text is not null").distinct())
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + F.lit(16)), F.lit(0))).first()[0]
-    parts = max(1, -(-int(total) // part_bytes))
+    parts = max(1, -(-int(total) * window // max_nodes))
     out = docs.drop("n_words", "hits", "items")
     for k in range(parts):
         own = items.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == k) if parts > 1 else items
