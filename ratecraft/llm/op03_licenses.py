@@ -8,10 +8,11 @@ literals all occur are run. Detections are then ordered by priority, length
 and place, and one whose words lie inside a kept one is suppressed, so a
 license notice is not also reported as the mention that it contains.
 
-The rules (some 400) come from hand-written signatures of license texts and
-from hand-written patterns for the ways a license is named: tag, grant,
-versioned name, plain name. The base phrases are counted beside them and their
-labels always stay.
+The rules (some 800) are hand-written signatures: sentences of the texts and
+notices of each license (``license_texts``, three at least for every label),
+patterns of notices, and patterns for the ways a license is named (tag, grant,
+versioned name, plain name) filled in for each name. The base phrases are
+counted beside them and their labels always stay.
 
 Defined cases: a null or empty text has no words and no detections (score 0);
 overlapping detections neither of which holds the other are both kept; equal
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ratecraft.llm.common import ship, table
+from ratecraft.llm.license_texts import SIGNATURES, pattern_and_literal
 from ratecraft.llm.op07_decontam import words_of
 
 #: Base phrases and their labels.
@@ -162,6 +164,10 @@ def build_rules() -> list[Rule]:
 
     for label, pattern, literals, priority, weight in TEXTS:
         add(label, pattern, literals, priority, weight)
+    for label, sentences in SIGNATURES.items():
+        for sentence in sentences:
+            pattern, literal = pattern_and_literal(sentence)
+            add(label, pattern, (literal,), 91, .9)
     for label, names, versions in NAMES:
         for name in names:
             word = re.escape(name).replace(r"\ ", " ")

@@ -56,3 +56,25 @@ def test_every_alternative_wakes_its_rule():
 @pytest.mark.parametrize("text", ["CC Zero 1.0", "Creative Commons 0", "creative commons zero", "CC0 1.0 Universal", "CC0"])
 def test_cc0_names(text):
     assert "cc0" in lic.Scanner().scan(text)["labels"].split(",")
+
+
+def test_every_name_has_signatures_of_its_text():
+    """Each named license is found by three sentences of its text at least, each without the license's name around it."""
+    scanner = lic.Scanner()
+    labels = {label for label, _, _ in lic.NAMES}
+    assert set(lic.SIGNATURES) == labels and all(len(s) >= 3 for s in lic.SIGNATURES.values())
+    assert sum(map(len, lic.SIGNATURES.values())) >= 200
+    sentences = [x for s in lic.SIGNATURES.values() for x in s]
+    assert len(set(sentences)) == len(sentences)
+    for label, own in lic.SIGNATURES.items():
+        for sentence in own:
+            text = "Before, " + sentence.replace(" ... ", " some other (words) ").capitalize() + "; after."
+            assert label in scanner.scan(text)["labels"].split(","), (label, sentence)
+
+
+def test_signatures_are_written_normalised():
+    from ratecraft.llm.op07_decontam import words_of
+    for own in lic.SIGNATURES.values():
+        for sentence in own:
+            for part in sentence.split(" ... "):
+                assert b" ".join(words_of(part)).decode() == part
