@@ -47,12 +47,11 @@ from ratecraft.llm.op07_decontam import words_of
 from ratecraft.session import materialize, scratch_path
 
 K = 50
-SHARD_TOKENS = 4 << 20
+SHARD_TOKENS = 2 << 20
 SHARD_DOCS = 1 << 16
 ITEM_BYTES = 2 << 20
 OPEN = 128                      # states opened at once until k documents are scored
 OPEN_CELLS = 1 << 17            # then: nodes looked at in one step
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _BITS = np.array([[bin(m & ((1 << c) - 1)).count("1") for c in range(4)] for m in range(16)], np.int32)
 _COUNT = np.array([bin(m).count("1") for m in range(16)], np.int32)
 
@@ -299,6 +298,15 @@ def _index_partition(n_docs: int, n_terms: int, shard_tokens: int):
     return run
 
 
+def _count_terms(batches):
+    docs = terms = 0
+    for batch in batches:
+        for text in batch.column("text"):
+            n = len(words_of(text.as_py()))
+            docs, terms = docs + (n > 0), terms + n
+    yield pa.record_batch([pa.array([docs], pa.int64()), pa.array([terms], pa.int64())], names=["docs", "terms"])
+
+
 class Index:
     """A written index: its folder, the number of documents with terms and of their terms."""
 
@@ -316,8 +324,8 @@ def build_index(docs: DataFrame, path: str | None = None, shard_tokens: int = SH
     ship(spark)
     path = path or scratch_path(spark, "treaps")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    n = F.regexp_count("text", F.lit(TERM))
-    total = rows.agg(F.count_if(n > 0).alias("docs"), F.coalesce(F.sum(n), F.lit(0)).alias("terms")).first()
+    total = (rows.select("text").mapInArrow(_count_terms, "docs long, terms long")
+             .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("docs", "terms")]).first())
     rows.mapInArrow(_index_partition(total.docs, max(total.terms, 1), shard_tokens), _SHARD).write.mode("overwrite").parquet(path)
     return Index(spark, path, total.docs, total.terms)
 
