@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import table
+from ratecraft.llm.common import ship, table
 from ratecraft.llm.pieces import encoder
 from ratecraft.session import scratch_path
 
@@ -194,10 +194,12 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, shards
                 segment_ids: int = SEGMENT_IDS) -> None:
     """Encode ``docs`` (doc_id, text) and write the store to ``path``."""
     spark = docs.sparkSession
+    ship(spark)
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (docs.select("doc_id", "text")
                .withColumn("tie", F.xxhash64("text"))
-               .repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+               .withColumn("copy", F.monotonically_increasing_id())       # deals out the repeats of one row
+               .repartitionByRange(n, "doc_id", "tie", "copy").sortWithinPartitions("doc_id", "tie")
                .select("doc_id", "text"))
     (ordered.mapInArrow(_write_partition(tokenizer, segment_ids),
                         "shard int, segment int, n_docs long, n_ids long, payload binary")
@@ -212,7 +214,9 @@ def _read_rows(batches):
             docs, bounds = seg.doc_ids(), seg.bounds.values()
             for lo in range(0, seg.n_docs, ROWS_OUT):
                 hi = min(seg.n_docs, lo + ROWS_OUT)
-                crc = [zlib.crc32(seg.ids[a:b].astype("<u4")) for a, b in zip(bounds[lo:hi], bounds[lo + 1:hi + 1])]
+                wide = memoryview(seg.ids[bounds[lo]:bounds[hi]].astype("<u4"))
+                at = (bounds[lo:hi + 1] - bounds[lo]).tolist()
+                crc = [zlib.crc32(wide[a:b]) for a, b in zip(at[:-1], at[1:])]
                 yield pa.record_batch(
                     [pa.array(docs[lo:hi], pa.int64()), pa.array([shard] * (hi - lo), pa.int32()),
                      pa.array([segment] * (hi - lo), pa.int32()), pa.array(bounds[lo:hi], pa.int64()),
@@ -226,6 +230,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     + the offset inside the segment. Only the per-shard totals (one row a
     shard) meet in one task.
     """
+    ship(spark)
     store = spark.read.parquet(path)
     sizes = store.select("shard", "segment", "n_ids")
     per_shard = sizes.groupBy("shard").agg(F.sum("n_ids").alias("ids"))

@@ -19,7 +19,7 @@ from array import array
 import numpy as np
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
-CACHE_PIECES = 400_000          # entries of a worker's cache before it is emptied
+CACHE_PIECES = 300_000          # entries of each of the two generations of a worker's cache
 CACHE_BYTES = 96                # pieces longer than this are not kept
 _MARKS = ".,;:!?"
 _REGULAR = re.compile(r"(?<=\S) (?=\S)")
@@ -35,25 +35,32 @@ def _is_word(piece: str) -> bool:
 
 
 class _Pieces(dict):
+    """Ids of pieces. When full, it becomes the older generation, out of which pieces that recur are taken over."""
+
     def __init__(self, owner: "PieceEncoder", prefix: str):
         super().__init__()
-        self.owner, self.prefix = owner, prefix
+        self.owner, self.prefix, self.older = owner, prefix, {}
 
     def __missing__(self, piece: str) -> bytes:
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            raise _Odd
-        if _is_word(piece):
-            value = self.owner.word(self.prefix + piece)
-        elif piece[-1] in _MARKS and _is_word(piece[:-1]):
-            value = self[piece[:-1]] + self.owner.marks[piece[-1]]
-        else:
-            value = self.owner.plain(self.prefix + piece)
+        value = self.older.get(piece)
+        if value is None:
+            value = self._encode(piece)
         if len(piece) <= CACHE_BYTES:
             if len(self) >= CACHE_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = value
         return value
 
+    def _encode(self, piece: str) -> bytes:
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise _Odd
+        if _is_word(piece):
+            return self.owner.word(self.prefix + piece)
+        if piece[-1] in _MARKS and _is_word(piece[:-1]):
+            return self[piece[:-1]] + self.owner.marks[piece[-1]]
+        return self.owner.plain(self.prefix + piece)
+
 
 def tokenizer_path(file: str | None = None) -> str:
     """Path of a public tokenizer file (a bare name is looked up in the package)."""
