@@ -277,35 +277,52 @@ def _fit_later(model: EffectModel, base: DataFrame | None, keep) -> None:
             else:
                 v = s / (n + model._lam(j))
             vals.append(v.alias(f"{e.name}__{j}"))
-        return keep(sums.select(*by, e.key, *vals), e.name)
+        return sums.select(*by, e.key, *vals)
 
     second, later = effects[1], effects[2:]
-    sums = base.groupBy(*by, second.key).agg(F.count(F.lit(1)).alias("__n"), *[_strict_sum(left_of(1, j)).alias(f"__s{j}") for j in slots])
-    model.tables.append(shrunk(sums, second))
-    if not later:
-        return
     keys = [e.key for e in later]
-    known = keyed_join(base, model.tables[1], [*by, second.key], "left", null_safe=[second.key] if second.null_safe else [])
-    known = known.select(*by, *keys, *[left_of(2, j).alias(f"__r{j}") for j in slots])
-    marginal = known.groupingSets([[*by, k] for k in keys], *by, *keys).agg(
-        F.grouping_id().alias("__g"), F.count(F.lit(1)).alias("__n"), *[_strict_sum(F.col(f"__r{j}")).alias(f"__s{j}") for j in slots])
-    marginal = keep(marginal, "marginals")
-    pairs = None
-    if len(later) > 1:
-        pairs = keep(base.groupingSets([[*by, a, b] for a, b in combinations(keys, 2)], *by, *keys)
-                     .agg(F.grouping_id().alias("__g"), F.count(F.lit(1)).alias("__w")), "pairs")
     # grouping_id has a bit for each of (by..., keys...) that is not grouped by
     grouped = lambda *own: sum(1 << (len(keys) - 1 - m) for m in range(len(keys)) if m not in own)
+
+    def count_pairs():
+        if len(later) < 2:
+            return None
+        return keep(base.groupingSets([[*by, a, b] for a, b in combinations(keys, 2)], *by, *keys)
+                    .agg(F.grouping_id().alias("__g"), F.count(F.lit(1)).alias("__w")), "pairs")
+
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        pairs = pool.submit(count_pairs)         # needs no effect: runs beside the second effect
+        sums = base.groupBy(*by, second.key).agg(F.count(F.lit(1)).alias("__n"), *[_strict_sum(left_of(1, j)).alias(f"__s{j}") for j in slots])
+        model.tables.append(keep(shrunk(sums, second), second.name))
+        if not later:
+            return
+        known = keyed_join(base, model.tables[1], [*by, second.key], "left", null_safe=[second.key] if second.null_safe else [])
+        known = known.select(*by, *keys, *[left_of(2, j).alias(f"__r{j}") for j in slots])
+        marginal = known.groupingSets([[*by, k] for k in keys], *by, *keys).agg(
+            F.grouping_id().alias("__g"), F.count(F.lit(1)).alias("__n"), *[_strict_sum(F.col(f"__r{j}")).alias(f"__s{j}") for j in slots])
+        marginal = keep(marginal, "marginals")
+        pairs = pairs.result()
+    found: list[DataFrame] = []
     for i, e in enumerate(later):
         t = marginal.filter(F.col("__g") == grouped(i)).select(*by, e.key, "__n", *[f"__s{j}" for j in slots])
         for m in range(i):
             p = later[m]
-            w = keyed_join(pairs.filter(F.col("__g") == grouped(m, i)).select(*by, p.key, e.key, "__w"), model.tables[2 + m], [*by, p.key],
+            w = keyed_join(pairs.filter(F.col("__g") == grouped(m, i)).select(*by, p.key, e.key, "__w"), found[m], [*by, p.key],
                            "left", null_safe=[p.key] if p.null_safe else [])
             off = w.groupBy(*by, e.key).agg(*[_strict_sum(F.col("__w") * F.col(f"{p.name}__{j}")).alias(f"__o{j}") for j in slots])
             t = keyed_join(t, off, [*by, e.key], "left", null_safe=[e.key])
             t = t.select(*by, e.key, "__n", *[(F.col(f"__s{j}") - F.col(f"__o{j}")).alias(f"__s{j}") for j in slots])
-        model.tables.append(shrunk(t, e))
+        found.append(shrunk(t, e))
+    # all later effects in one job and one table, a row for each effect and key
+    kinds = dict(marginal.dtypes)
+    rows = None
+    for i, (e, t) in enumerate(zip(later, found)):
+        own = t.select(F.lit(i).alias("__e"), *by, *[(F.col(k) if k == e.key else F.lit(None).cast(kinds[k])).alias(k) for k in keys],
+                       *[F.col(f"{e.name}__{j}").alias(f"__v{j}") for j in slots])
+        rows = own if rows is None else rows.unionByName(own)
+    rows = keep(rows, "later-effects")
+    for i, e in enumerate(later):
+        model.tables.append(rows.filter(F.col("__e") == i).select(*by, e.key, *[F.col(f"__v{j}").alias(f"{e.name}__{j}") for j in slots]))
 
 
 class ChunkedEffectModel:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ratecraft.functions.features import split_genres
 from ratecraft.operators.joins import keyed_join
-from ratecraft.operators.quantiles import column_quantiles, usable
+from ratecraft.operators.quantiles import Column1D, column_quantiles, usable
 from ratecraft.sources.io import literal_table
 
 
@@ -86,16 +86,14 @@ def column_summary(df: DataFrame, cols: Sequence[str], by: str | None = None) ->
     kinds = dict(df.dtypes)
     dates = ("date", "timestamp", "timestamp_ntz")
     x = {c: usable(F.unix_date(F.col(c).cast("date")) if kinds[c] in dates else F.col(c)) for c in cols}
-    group = F.col(by) if by else F.lit(None).cast("string")
-    aggs = [F.struct(F.lit(c).alias("column"), F.min(x[c]).alias("min"), F.avg(x[c]).alias("mean"), F.max(x[c]).alias("max"),
-                     F.count_if(x[c].isNull()).alias("n_na")) for c in cols]
-    plain = df.groupBy(group.alias("__by")).agg(F.array(*aggs).alias("s")).select("__by", F.inline("s"))
-    quartiles = column_quantiles(df, x, (0.25, 0.5, 0.75), by)
+    found = column_quantiles(df, x, (0.25, 0.5, 0.75), by)
+    if by is None and not found:                 # an empty table has no group; its one row is empty
+        found = {(None, c): Column1D(0, 0, None, None, None, dict.fromkeys((0.25, 0.5, 0.75))) for c in cols}
     # one row a column and group
-    found = literal_table(df.sparkSession, [(g, c, *(q[p] for p in (0.25, 0.5, 0.75))) for (g, c), q in quartiles.items()],
-                          f"__by {kinds[by] if by else 'string'}, column string, q1 double, median double, q3 double")
-    out = keyed_join(plain, found, ["__by", "column"], "left", null_safe=["__by"])
-    return out.select(*([F.col("__by").alias(by)] if by else []), "column", "min", "q1", "median", "mean", "q3", "max", "n_na")
+    lines = [(g, c, s.lo, s.quantiles[0.25], s.quantiles[0.5], s.mean, s.quantiles[0.75], s.hi, s.n_missing) for (g, c), s in found.items()]
+    out = literal_table(df.sparkSession, lines, f"__by {kinds[by] if by else 'string'}, column string, min double, q1 double, median double, "
+                        "mean double, q3 double, max double, n_na long")
+    return out.withColumnRenamed("__by", by) if by else out.drop("__by")
 
 
 def pattern_coverage(df: DataFrame, col: str, pattern: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Two ways. ``column_quantiles`` serves many numeric columns at once: one pass of
 fixed-range histograms for all of them, then passes that count again inside the
-bins that hold the wanted ranks, until each such bin holds one value. No row is
+bins that hold the wanted ranks, until each such bin holds one value (after a
+pass that finds most values in one bin, bins grow geometrically). No row is
 shuffled; what meets the driver is at most ``BINS`` counts for each column and
 wanted rank. ``grouped_quantiles`` serves one column by group: counts per (group,
 value), range-partitioned, with running counts per partition.
@@ -14,7 +15,8 @@ the two values around it. Null and NaN are left out.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, floor, inf
+from dataclasses import dataclass
+from math import ceil, floor, inf, log1p
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +25,8 @@ from ratecraft.operators.joins import keyed_join
 from ratecraft.session import materialize
 
 BINS = 1024
+MOST = 0.5          # share of a range in one bin from which on the next bins grow geometrically
+OCTAVES = 200       # that they span
 
 
 def usable(x: Column) -> Column:
@@ -43,30 +47,51 @@ def places(n: int, probs: Sequence[float]) -> dict[float, tuple[int, int, float]
 class _Range:
     """A range of a column's values [lo, hi] with the ranks wanted in it; ``before`` values are smaller."""
 
-    def __init__(self, group, column: str, lo: float, hi: float, before: int, ranks: set[int]):
+    def __init__(self, group, column: str, lo: float, hi: float, before: int, ranks: set[int], skewed: bool = False):
         self.group, self.column, self.lo, self.hi, self.before, self.ranks = group, column, lo, hi, before, ranks
+        self.skewed = skewed
 
 
 def _bin(x: Column, r: _Range) -> Column:
     """Bin 0..BINS-1 of a value of the range; infinite ends have bins of their own, -1 and BINS."""
     lo, hi = (max(r.lo, -1.7e308), min(r.hi, 1.7e308))
     width = hi / 2 - lo / 2          # half the width: never overflows
-    at = F.floor((x / 2 - F.lit(lo / 2)) / F.lit(width) * BINS) if width > 0 else (x > F.lit(r.lo)).cast("int")
+    share = (x / 2 - F.lit(lo / 2)) / F.lit(width if width > 0 else 1.0)
+    if width <= 0:
+        at = (x > F.lit(r.lo)).cast("int")
+    elif r.skewed:       # most values lie near the lower end: bins grow with the distance from it
+        at = F.floor(F.log1p(share * F.lit(2.0 ** OCTAVES)) / F.lit(log1p(2.0 ** OCTAVES)) * BINS)
+    else:
+        at = F.floor(share * BINS)
     return F.when(x == F.lit(-inf), -1).when(x == F.lit(inf), BINS).otherwise(F.least(F.greatest(at, F.lit(0)), F.lit(BINS - 1))).cast("int")
 
 
-def column_quantiles(df: DataFrame, columns: dict[str, Column], probs: Sequence[float], by: str | None = None) -> dict[tuple, dict[float, float | None]]:
-    """{(group, column): {q: value}} for every column and every value of ``by`` (few values; None without ``by``)."""
+@dataclass
+class Column1D:
+    """What one pass and its refinements found out about a column: counts, range, mean, quantiles."""
+    n: int
+    n_missing: int
+    lo: float | None
+    mean: float | None
+    hi: float | None
+    quantiles: dict[float, float | None]
+
+
+def column_quantiles(df: DataFrame, columns: dict[str, Column], probs: Sequence[float], by: str | None = None) -> dict[tuple, Column1D]:
+    """{(group, column): Column1D} for every column and every value of ``by`` (few values; None without ``by``)."""
     names = list(columns)
     group = F.col(by) if by else F.lit(None).cast("string")
     rows = df.select(group.alias("__g"), *[usable(columns[c]).alias(f"__x{i}") for i, c in enumerate(names)])
-    ends = rows.groupBy("__g").agg(*[f(f"__x{i}").alias(f"{p}{i}") for i in range(len(names)) for p, f in (("n", F.count), ("lo", F.min), ("hi", F.max))])
+    ends = rows.groupBy("__g").agg(F.count(F.lit(1)).alias("rows"), *[
+        f(f"__x{i}").alias(f"{p}{i}") for i in range(len(names)) for p, f in (("n", F.count), ("lo", F.min), ("mean", F.avg), ("hi", F.max))])
+    out: dict[tuple, Column1D] = {}
     wanted: dict[tuple, dict[float, tuple[int, int, float]]] = {}
     found: dict[tuple, dict[int, float]] = {}
     open_: list[_Range] = []
     for r in ends.collect():
         for i, c in enumerate(names):
             at = (r["__g"], c)
+            out[at] = Column1D(r[f"n{i}"], r["rows"] - r[f"n{i}"], r[f"lo{i}"], r[f"mean{i}"], r[f"hi{i}"], dict.fromkeys(probs))
             wanted[at], found[at] = places(r[f"n{i}"], probs) if r[f"n{i}"] else {}, {}
             ranks = {k for lo, hi, _ in wanted[at].values() for k in (lo, hi)}
             if ranks and r[f"lo{i}"] == r[f"hi{i}"]:
@@ -75,7 +100,9 @@ def column_quantiles(df: DataFrame, columns: dict[str, Column], probs: Sequence[
                 open_.append(_Range(r["__g"], c, r[f"lo{i}"], r[f"hi{i}"], 0, ranks))
     while open_:
         open_ = _refine(rows, names, open_, found)
-    return {at: {q: None if q not in w else _between(found[at][w[q][0]], found[at][w[q][1]], w[q][2]) for q in probs} for at, w in wanted.items()}
+    for at, w in wanted.items():
+        out[at].quantiles.update({q: _between(found[at][lo], found[at][hi], weight) for q, (lo, hi, weight) in w.items()})
+    return out
 
 
 def _between(low: float, high: float, weight: float) -> float:
@@ -84,13 +111,18 @@ def _between(low: float, high: float, weight: float) -> float:
 
 def _refine(rows: DataFrame, names: list[str], ranges: list[_Range], found: dict) -> list[_Range]:
     """One pass: counts of all bins of all open ranges; the ranges that are still open after it."""
-    cells = []
-    for k, r in enumerate(ranges):
-        x = F.col(f"__x{names.index(r.column)}")
-        inside = F.col("__g").eqNullSafe(F.lit(r.group)) & (x >= F.lit(r.lo)) & (x <= F.lit(r.hi))
-        cells.append(F.when(inside, F.struct(F.lit(k).alias("k"), _bin(x, r).alias("bin"), x.alias("x"))))
-    counted = (rows.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).groupBy("c.k", "c.bin")
-               .agg(F.count(F.lit(1)).alias("n"), F.min("c.x").alias("lo"), F.max("c.x").alias("hi")))
+    cells = None
+    for i, c in enumerate(names):
+        # a branch of its own for each column: it reads that column alone
+        own = [(k, r) for k, r in enumerate(ranges) if r.column == c]
+        x, k_of, bin_of = F.col(f"__x{i}"), F.lit(None).cast("int"), F.lit(None).cast("int")
+        for k, r in own:             # a value lies in one range of its column and group at most
+            inside = F.col("__g").eqNullSafe(F.lit(r.group)) & (x >= F.lit(r.lo)) & (x <= F.lit(r.hi))
+            k_of, bin_of = F.when(inside, F.lit(k)).otherwise(k_of), F.when(inside, _bin(x, r)).otherwise(bin_of)
+        if own:
+            part = rows.select(k_of.alias("k"), bin_of.alias("bin"), x.alias("x")).filter("k is not null")
+            cells = part if cells is None else cells.unionAll(part)
+    counted = cells.groupBy("k", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     bins: dict[int, list] = {}
     for b in counted.collect():
         bins.setdefault(b["k"], []).append(b)
@@ -102,7 +134,7 @@ def _refine(rows: DataFrame, names: list[str], ranges: list[_Range], found: dict
             if own and b["lo"] == b["hi"]:
                 found[r.group, r.column].update(dict.fromkeys(own, b["lo"]))
             elif own:
-                out.append(_Range(r.group, r.column, b["lo"], b["hi"], before, own))
+                out.append(_Range(r.group, r.column, b["lo"], b["hi"], before, own, not r.skewed and b["n"] > MOST * sum(x["n"] for x in bins[k])))
             before += b["n"]
     return out
 

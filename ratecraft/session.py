@@ -95,7 +95,7 @@ def materialize(df, name: str, rebalance: bool = False):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     (df.hint("rebalance") if rebalance else df).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)       # known, so no job reads it from a file's end
 
 
 def kept_table(spark: SparkSession, key: str, build):

@@ -33,13 +33,14 @@ def test_column_quantiles_many_shapes(spark, seed):
             for q in PROBS:
                 lo, hi, w = qu.places(len(own), [q])[q]
                 want = own[lo] if own[lo] == own[hi] else own[lo] + (own[hi] - own[lo]) * w
-                assert _close(got[g, c][q], want) or (math.isnan(want) and math.isnan(got[g, c][q])), (c, q)
+                assert _close(got[g, c].quantiles[q], want) or (math.isnan(want) and math.isnan(got[g, c].quantiles[q])), (c, q)
 
 
 def test_column_quantiles_of_nulls_and_ties(spark):
     df = spark.createDataFrame([(None, 1.0), (None, float("nan")), (None, 2.0), (None, 2.0), (None, 2.0), (None, None)], "a double, b double")
     got = qu.column_quantiles(df, {"a": F.col("a"), "b": F.col("b")}, (0.25, 0.5))
-    assert got[None, "a"] == {0.25: None, 0.5: None} and got[None, "b"] == {0.25: 1.75, 0.5: 2.0}
+    assert got[None, "a"].quantiles == {0.25: None, 0.5: None} and got[None, "b"].quantiles == {0.25: 1.75, 0.5: 2.0}
+    assert (got[None, "b"].n, got[None, "b"].n_missing, got[None, "b"].mean) == (4, 2, 1.75)
     assert qu.column_quantiles(df.limit(0), {"a": F.col("a")}, (0.5,)) == {}
 
 
@@ -49,6 +50,7 @@ def test_summary_where_a_sketch_would_be_off(spark):
     rows = {r.column: r for r in pr.column_summary(df, ["a", "b"]).collect()}
     for c, x in (("a", np.arange(400_000) * 7919 % 400_009), ("b", np.array([i * 1.5 for i in range(400_000) if i % 10]))):
         assert [rows[c].q1, rows[c].median, rows[c].q3] == np.quantile(x, [.25, .5, .75]).tolist()
+    assert pr.column_summary(df.limit(0), ["a"]).first().asDict() == {"column": "a", "n_na": 0, **dict.fromkeys(["min", "q1", "median", "mean", "q3", "max"])}
     assert rows["a"].n_na == 0 and rows["b"].n_na == 40_000 and rows["b"].min == 1.5
 
 
