@@ -12,11 +12,12 @@ range of doubles.
    other directions: two unit vectors at the limit agree in a sign with
    probability p = 1 - angle / pi, so R = log(miss) / log(1 - p^k) tables leave
    out ``MISS`` of such pairs.
-3. In a cell every projection is sorted. A query takes the window of half width
-   ``WIDTH`` standard deviations (of a pair at the limit) around its place out of
-   each sorted projection and counts, over all projections, how often each
-   class falls into it. ``required()`` collisions make a candidate; ``MISS`` of
-   the pairs at the limit fall short of it.
+3. In a cell the first ``SORTED`` projections are sorted. A query takes the
+   window of half width ``WIDTH`` standard deviations (of a pair at the limit)
+   around its place out of each sorted projection and counts how often each class
+   falls into it. Pairs with ``required(SORTED)`` collisions have the windows of
+   the other projections counted as well, and ``required(M)`` of all make a
+   candidate; ``MISS`` of the pairs at the limit fall short of either.
 4. Cells are dealt into blocks of ``BLOCK`` classes, and block pairs are the unit
    of work, so a cell of any size is split over tasks. Only numbers and places
    (about ``M`` + 40 bytes a class) travel to the counting. A unit names the
@@ -50,7 +51,8 @@ from ratecraft.session import materialize
 COSINE = 0.93
 MISS = 1e-5
 CELL = 8192
-M = 32
+M = 64
+SORTED = 32                 # projections counted by sorted windows, the others for pairs that pass these
 WIDTH = 2.0
 STEPS = 16                  # places a window's half width is divided into
 BLOCK = 4096
@@ -70,8 +72,8 @@ def window(cosine: float = COSINE, width: float = WIDTH) -> float:
     return width * sqrt(2 - 2 * cosine)
 
 
-def required(m: int = M, width: float = WIDTH, miss: float = MISS) -> int:
-    """Largest count that all but ``miss`` of the pairs at the limit reach."""
+def required(m: int = M, width: float = WIDTH, miss: float = MISS / 2) -> int:
+    """Largest count over ``m`` projections that all but ``miss`` of the pairs at the limit reach."""
     p = erf(width / sqrt(2))
     short = 0.0
     for count in range(m + 1):
@@ -135,9 +137,10 @@ _DEALT = "label string, dim int, bits int, tbl int, cell long, rep long, places
 
 
 class Sorted:
-    """The projections of a block, each sorted."""
+    """The first projections of a block, each sorted."""
 
     def __init__(self, places: np.ndarray):
+        places = places[:, :SORTED]
         self.order = np.argsort(places, axis=0, kind="stable").T.copy()
         self.value = np.take_along_axis(places.astype(np.int16), self.order.T, axis=0).T.copy()
         self.n = len(places)
@@ -146,7 +149,7 @@ class Sorted:
         """Collisions of each query with each row of the block: windows around the query, over all projections."""
         out = np.zeros((len(queries), self.n), np.uint8)
         q = queries.astype(np.int16)
-        for j in range(M):
+        for j in range(SORTED):
             # one step more on either side covers the rounding of both places
             lo = np.searchsorted(self.value[j], q[:, j] - (STEPS + 1), "left")
             hi = np.searchsorted(self.value[j], q[:, j] + (STEPS + 1), "right")
@@ -158,14 +161,20 @@ class Sorted:
 
 def candidates(places: np.ndarray, one: np.ndarray, two: np.ndarray | None):
     """Index pairs (block one, block two or itself) with enough collisions, some queries at a time."""
-    block, least = Sorted(places[one if two is None else two]), required()
+    block, least, least_of_all = Sorted(places[one if two is None else two]), required(SORTED), required(M)
     right = one if two is None else two
     for lo in range(0, len(one), QUERIES):
         q = one[lo:lo + QUERIES]
-        i, j = np.nonzero(block.counts(places[q]) >= least)
-        i, j = q[i], right[j]
-        keep = i < j if two is None else slice(None)
-        yield i[keep], j[keep]
+        counts = block.counts(places[q])
+        i, j = np.nonzero(counts >= least)
+        if two is None:
+            once = q[i] < right[j]
+            i, j = i[once], j[once]
+        for at in range(0, len(i), 1 << 14):
+            a, b = i[at:at + (1 << 14)], j[at:at + (1 << 14)]
+            x, y = (places[r, SORTED:].astype(np.int16) for r in (q[a], right[b]))
+            keep = counts[a, b] + (np.abs(x - y) <= STEPS + 1).sum(axis=1) >= least_of_all
+            yield q[a[keep]], right[b[keep]]
 
 
 def _unit_of_work(t: pa.Table):

@@ -16,19 +16,23 @@ def pairs_at(rng, n, low, high, dim=64):
     return x, c * x + np.sqrt(1 - c ** 2) * y
 
 
-def test_counts_equal_a_plain_comparison():
+def test_counts_equal_a_plain_comparison(monkeypatch):
     rng = np.random.default_rng(2)
-    places = rng.integers(-127, 128, (300, vec.M)).astype(np.int8)
+    places = rng.integers(-30, 31, (300, vec.M)).astype(np.int8)
     got = vec.Sorted(places).counts(places[:40])
     near = np.abs(places[:40, None].astype(int) - places[None].astype(int)) <= vec.STEPS + 1
-    assert (got == near.sum(axis=2)).all()
+    assert (got == near[:, :, :vec.SORTED].sum(axis=2)).all()
+    want = {(i, j) for i in range(40) for j in range(300) if i < j and near[i, j, :vec.SORTED].sum() >= 12 and near[i, j].sum() >= 24}
+    monkeypatch.setattr(vec, "required", lambda m: 12 if m == vec.SORTED else 24)
+    found = {(int(i), int(j)) for a, b in vec.candidates(places, np.arange(300), None) for i, j in zip(a, b) if i < 40}
+    assert want and found == want
 
 
 def test_recall_at_the_limit():
     """Of 20,000 pairs with a cosine of 0.93 to 0.94 at least 0.999 get enough collisions, whatever one window misses."""
     x, y = pairs_at(np.random.default_rng(5), 20_000, .93, .94)
     inside = np.abs(vec.places_of(x).astype(int) - vec.places_of(y).astype(int)) <= vec.STEPS + 1
-    assert (inside.sum(axis=1) >= vec.required()).mean() >= .999
+    assert ((inside.sum(axis=1) >= vec.required(vec.M)) & (inside[:, :vec.SORTED].sum(axis=1) >= vec.required(vec.SORTED))).mean() >= .999
     assert (~inside[:, 0]).sum() > 100
 
 
