@@ -18,7 +18,8 @@ from ratecraft.session import materialize
 U64 = np.uint64
 
 
-_SHIPPED: set[str] = set()
+#: Per application the folder of its code zip, removed when this process ends.
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -27,12 +28,13 @@ def ship(spark: SparkSession) -> None:
     if sc.applicationId in _SHIPPED:
         return
     top = Path(__file__).resolve().parents[1]
-    path = os.path.join(tempfile.mkdtemp(prefix="ratecraft-code-"), f"{top.name}.zip")
+    folder = tempfile.TemporaryDirectory(prefix="ratecraft-code-", ignore_cleanup_errors=True)
+    path = os.path.join(folder.name, f"{top.name}.zip")
     with zipfile.ZipFile(path, "w") as z:
         for f in sorted(top.rglob("*.py")):
             z.write(f, f.relative_to(top.parent))
     sc.addPyFile(path)
-    _SHIPPED.add(sc.applicationId)
+    _SHIPPED[sc.applicationId] = folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -17,7 +17,7 @@ def pages(spark):
     rows = [(i, f"http://a.org/{i}", f"<p>page {i}") for i in range(40)]
     rows += [(100 + i, f"http://copy.org/{i}", BIG) for i in range(30)]
     rows += [(5, "http://a.org/5", BIG + "x"), (7, None, BIG + "x"), (None, "http://none.org", BIG + "y"), (None, None, BIG + "y"), (3, "u", BIG + "z"),
-             (3, "u", BIG + "z"), (3, "u", BIG + "z"), (50, "http://b.org/a b\r\nWARC-Type: x", None), (9, "é://ü", ""), (10, "", "x" * 400_000),
+             (3, "u", BIG + "z"), (3, "u", BIG + "z"), (50, "http://b.org/a b\r\nWARC-Type: x", None), (9, "é://ü", ""), (60, "", "x" * 400_000),
              (11, "http://999.org", "y" * 999), (12, "http://999.org", "y" * 999), (13, "http://1000.org", "z" * 1000), (14, "http://1000.org", "z" * 1000)]
     return spark.createDataFrame([(*r, "clash", "clash") for r in rows], "page_id long, url string, html string, digest string, top string").repartition(4)
 
@@ -77,7 +77,7 @@ def test_selection_and_payloads(pages, index):
     picked = index.filter("page_id between 100 and 105 or page_id = 50")
     got = {r.page_id: bytes(r.payload).decode() for r in warc.payloads(index, picked).collect()}
     assert got == {**{100 + i: BIG for i in range(6)}, 50: ""}
-    one = warc.read_records(index.filter("page_id = 10")).collect()
+    one = warc.read_records(index.filter("page_id = 60")).collect()
     assert len(one) == 1 and one[0].payload_bytes == 400_000
 
 
@@ -91,13 +91,13 @@ def test_small_archives_and_spans(spark, pages):
 
 def test_damage_is_found(spark, pages):
     index = warc.write_warc(pages)
-    row = index.filter("record_type = 'response' and page_id = 10").first()
+    row = index.filter("record_type = 'response' and page_id = 60").first()
     path = warc.filesystem(row.file)[1]
     data = bytearray(open(path, "rb").read())
     data[row.offset + row.length - 6] ^= 255
     open(path, "wb").write(data)
     with pytest.raises(Exception):
-        warc.read_records(index.filter("page_id = 10")).collect()
+        warc.read_records(index.filter("page_id = 60")).collect()
 
 
 def test_empty(spark, pages):
