@@ -4,7 +4,17 @@ Each stage is a function (spark, docs, sf_dir) -> DataFrame. ``run`` writes a
 stage's rows as Parquet in the shared folder and hands the reread table to the
 next stage, so each stage starts from a committed table and works on all that
 its predecessor kept. All stages but the last return the columns of
-``documents``.
+``documents``, further columns of the input included, with the values that
+came in, whatever they are called.
+
+Defined cases: a null or empty text is clean of the benchmark, has no near
+copies, the toxicity of an empty passage, and size 0 in the mix (kept or left
+by its source's rate); a document without an id stays in the near-copy stage
+and sorts first in the store; rows that repeat an id are one document for the
+near-copy stage, which keeps one of them; a null source is a source of its own;
+without labels nothing is toxic, without a benchmark nothing is contaminated;
+an empty table passes every stage and gives an empty store. A text of any
+length goes through whole.
 """
 
 from __future__ import annotations
