@@ -48,7 +48,7 @@ ORDERS = (3, 4, 5)
 BUCKETS = 1 << 17
 DIM = 4
 WINDOW = 2
-MAX_ROWS = 1500             # labelled rows of each class that training may use
+MAX_ROWS = 1200             # labelled rows of each class that training may use
 MAX_BYTES = 12 << 20        # of their texts, for each class
 MAX_TEXT = 2 << 20          # of one of them
 EPOCHS = (30, 30, 30)       # Adam steps before each re-attribution of the toxic texts' labels
@@ -95,9 +95,16 @@ def word_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
 
 
+def running(values: np.ndarray) -> np.ndarray:
+    """0 and the running sums of ``values``."""
+    out = np.zeros(len(values) + 1)
+    np.cumsum(values, out=out[1:])
+    return out
+
+
 def segment_mean(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Mean of each run values[starts[i]:starts[i + 1]] (0 for an empty run)."""
-    total = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
+    total = running(values)
     n = np.diff(starts)
     return (total[starts[1:]] - total[starts[:-1]]) / np.maximum(n, 1)
 
@@ -180,7 +187,7 @@ def train(texts: list[str | None], toxic: list[int], share: float | None = None,
     def forward():
         """Logit of every word type alone, and of every passage."""
         by_type = segment_mean(weights()[gram], g_start)
-        upto = np.concatenate([[0.0], np.cumsum(by_type[word])])
+        upto = running(by_type[word])
         return by_type + (bias[1] - bias[0]), (upto[last] - upto[first]) / n_in + (bias[1] - bias[0])
 
     def adam(name, x, grad, decay=0.0):
@@ -298,7 +305,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """Train on the bounded sample; the share of toxic labels is counted over all of them."""
     share = known_labels(labels).agg(F.avg("toxic")).first()[0]
     rows = sorted(training_rows(docs, labels, max_rows).collect(), key=lambda r: (r.doc_id, r.text or ""))
-    return train([r.text for r in rows], [r.toxic for r in rows], share)
+    texts, toxic = [r.text for r in rows], [r.toxic for r in rows]
+    del rows
+    return train(texts, toxic, share)
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
