@@ -19,7 +19,7 @@ store can live on any file system that Spark writes to.
 
 Defined cases: a null or empty text is one end id; a null ``doc_id`` sorts
 first and reads back as null; repeated rows are all kept; rows with equal
-``doc_id`` stand in the order of a hash of their text; an empty table gives
+``doc_id`` stand in the order of the input; an empty table gives
 an empty store; other columns are ignored.
 """
 
@@ -197,9 +197,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, shards
     ship(spark)
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (docs.select("doc_id", "text")
-               .withColumn("tie", F.xxhash64("text"))
-               .withColumn("copy", F.monotonically_increasing_id())       # deals out the repeats of one row
-               .repartitionByRange(n, "doc_id", "tie", "copy").sortWithinPartitions("doc_id", "tie")
+               .withColumn("place", F.monotonically_increasing_id())      # also deals out the rows of one id
+               .repartitionByRange(n, "doc_id", "place").sortWithinPartitions("doc_id", "place")
                .select("doc_id", "text"))
     (ordered.mapInArrow(_write_partition(tokenizer, segment_ids),
                         "shard int, segment int, n_docs long, n_ids long, payload binary")
