@@ -52,7 +52,7 @@ COSINE = 0.93
 MISS = 1e-5
 CELL = 8192
 M = 64
-SORTED = 32                 # projections counted by sorted windows, the others for pairs that pass these
+SORTED = 20                 # projections counted by sorted windows, the others for pairs that pass these
 WIDTH = 2.0
 STEPS = 16                  # places a window's half width is divided into
 BLOCK = 4096
