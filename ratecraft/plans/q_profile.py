@@ -190,8 +190,8 @@ JOIN (SELECT p.release_year,
       ["known"])]))
 def year_boxplot(spark, sf):
     """Box-plot numbers of ratings-per-item, grouped by release year."""
-    per_item = P(spark, sf).known.groupBy("item_id").agg(F.count(F.lit(1)).alias("v"),
-                                                      F.min("release_year").alias("release_year"))
+    per_item = P(spark, sf).item_counts("fit", "tune").groupBy("item_id").agg(F.sum("n").alias("v"), F.min("release_year").alias("release_year"))
+    per_item = materialize(per_item, "per-item")          # scanned for the quartiles and for the whiskers
     return box_stats(per_item, "release_year", "v").select(
         "release_year", "n", "q1", "median", "q3", "whisker_low", "whisker_high", "n_outliers")
 
@@ -323,7 +323,7 @@ LEFT JOIN item_titles t ON b.item_id = t.item_id ORDER BY round(b.b_i, 9) {o}, b
 def movie_report(spark, sf, desc):
     p = P(spark, sf)
     m = p.plain_model(1)
-    counts = pr.count_by(p.fit_rows, "item_id", "n")
+    counts = p.item_counts("fit").groupBy("item_id").agg(F.sum("n").alias("n"))
     rep = natural_left_join(counts, m.effect_table(0))
     rep = rep.join(p.item_titles, "item_id", "left")
     key = F.round("b_i", 9)   # computed floats: order on 9 decimals, then the id

@@ -84,3 +84,27 @@ def test_sparse_filter_reaches_parquet_scan(spark):
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(l_shipdate" in plan
     assert "l_comment" not in plan and "l_extendedprice" not in plan   # columns pruned
+
+
+def test_guard_moves_no_row_of_dense_tables(spark):
+    """The guard's only traffic is one aggregate a key; rows meet the few lone keys by broadcast."""
+    from ratecraft.operators.split import flag_fold_guard
+    df = spark.range(2000).select((F.col("id") % 20).alias("item_id"), (F.col("id") % 30).alias("user_id"), (F.col("id") % 7 % 5).alias("f"))
+    flagged = flag_fold_guard(df, F.col("f"), 5)
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Aggregate" not in plan
+    assert flagged.filter("__keep").count() == 2000
+
+
+def test_guard_matches_brute_force_with_nulls_and_among(spark):
+    from ratecraft.operators.split import flag_fold_guard
+    df = spark.range(400).select(F.when(F.col("id") % 11 != 0, F.xxhash64("id") % 90).alias("item_id"), F.when(F.col("id") % 13 != 0, F.xxhash64("id", F.lit(1)) % 70).alias("user_id"),
+                                 F.when(F.col("id") % 5 != 0, F.pmod(F.col("id"), F.lit(3)).cast("int")).alias("f"), (F.col("id") % 4 != 0).alias("ok"), "id")
+    df = df.withColumn("f", F.when(F.col("ok"), F.col("f")))
+    rows = df.collect()
+    for among in (None, F.col("ok")):
+        seen = [r for r in rows if among is None or r.ok]
+        got = {r.id: r["__keep"] for r in flag_fold_guard(df, F.col("f"), 3, among=among).collect()}
+        for r in rows:
+            want = r.f is not None and all(any(getattr(o, k) == getattr(r, k) and o.f != r.f for o in seen) for k in ("item_id", "user_id"))
+            assert got[r.id] == want
