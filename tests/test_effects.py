@@ -224,7 +224,7 @@ def test_grid_rows_of_a_user_stand_together(spark, monkeypatch):
     from ratecraft.operators.effects import standard_effects
     plans, write = {}, grid.materialize
     monkeypatch.setattr(grid, "materialize", lambda df, name, **kw: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and write(df, name, **kw))
-    df = spark.range(600).select((F.col("id") % 20).alias("item_id"), (F.col("id") % 30).alias("user_id"), (F.col("id") % 9 / 2 + 0.5).alias("rating"), (F.col("id") % 3).cast("int").alias("f"),
+    df = spark.range(600).select((F.col("id") % 20).alias("item_id"), (F.col("id") % 30).alias("user_id"), (F.col("id") % 9 / 2 + 0.5).alias("rating"), F.pmod(F.xxhash64("id"), F.lit(3)).cast("int").alias("f"),
                                  (F.col("id") % 4).alias("release_year"), (F.col("id") % 5).alias("rating_date"), (F.col("id") % 2).alias("genres"))
     assert grid.fold_lambda_grid(df, F.col("f"), 3, standard_effects(), [0.0, 1.0]).count() == 6
     assert "REBALANCE_PARTITIONS_BY_COL" in plans["grid-rows"] and "user_id" in plans["grid-rows"]
