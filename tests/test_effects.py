@@ -228,3 +228,22 @@ def test_grid_rows_of_a_user_stand_together(spark, monkeypatch):
                                  (F.col("id") % 4).alias("release_year"), (F.col("id") % 5).alias("rating_date"), (F.col("id") % 2).alias("genres"))
     assert grid.fold_lambda_grid(df, F.col("f"), 3, standard_effects(), [0.0, 1.0]).count() == 6
     assert "REBALANCE_PARTITIONS_BY_COL" in plans["grid-rows"] and "user_id" in plans["grid-rows"]
+
+
+def test_grid_shuffles_rows_of_users_once_and_leaves_no_tables(spark, monkeypatch):
+    """Only the write of the grid's rows deals by user; the sums and joins on user go bucket by bucket, and its tables are removed."""
+    import glob
+    from ratecraft.operators import grid
+    from ratecraft.operators.effects import standard_effects
+    plans, write = {}, grid.materialize
+    monkeypatch.setattr(grid, "materialize", lambda df, name, **kw: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and write(df, name, **kw))
+    df = spark.range(900).select(F.when(F.col("id") % 50 != 0, F.col("id") % 20).alias("item_id"), F.when(F.col("id") % 60 != 0, F.when(F.col("id") < 400, 7).otherwise(F.col("id") % 30)).alias("user_id"),
+                                 F.when(F.col("id") != 5, F.col("id") % 9 / 2 + 0.5).alias("rating"), F.pmod(F.xxhash64("id"), F.lit(3)).cast("int").alias("f"),
+                                 (F.col("id") % 4).alias("release_year"), (F.col("id") % 5).alias("rating_date"), (F.col("id") % 2).alias("genres"))
+    assert grid.fold_lambda_grid(df, F.col("f"), 3, standard_effects(), [0.0, 1.0]).count() == 6
+    assert "hashpartitioning(user_id" in plans["grid-rows"]
+    for later in ("grid-users", "grid-sums", "grid-scores"):
+        assert "hashpartitioning(user_id" not in plans[later], later
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("ratecraft_")]
+    at = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    assert not [p for name in ("grid-flagged", "grid-rows", "grid-users") for p in glob.glob(f"{at}/scratch-{name}-*/*.parquet")]
